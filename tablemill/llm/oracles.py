@@ -24,3 +24,26 @@ WITH RECURSIVE split AS (
 SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
 FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
+
+
+def op3_sql(notices: list[tuple[str, list[str]]], dice: float) -> str:
+    """The licence scan; ``notices`` are names with their bigrams, in order."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({k}, {quote(name)}, [{', '.join(map(quote, grams))}])" for k, (name, grams) in enumerate(notices))
+    return rf"""
+WITH notice(k, license, own) AS (VALUES {values}), line AS (
+  SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), word AS (
+  SELECT doc_id, line, list_filter(string_split_regex(translate(t, {_AZ}), '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda w: w <> '') AS w FROM line
+), gram AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM word WHERE len(w) > 1
+), pair AS (
+  SELECT doc_id, line, k, license, 2.0::DOUBLE * len(list_intersect(g, own)) / (len(g) + len(own)) AS dice FROM gram, notice
+), best AS (
+  SELECT doc_id, line, arg_min(license, k) AS license, any_value(dice) AS dice
+  FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id, line) AS top FROM pair WHERE dice >= {dice}) WHERE dice = top GROUP BY doc_id, line
+)
+SELECT d.doc_id, count(b.line) AS n_matches, coalesce(string_agg(DISTINCT b.license, ',' ORDER BY b.license), '') AS licenses,
+  coalesce(string_agg(b.line::VARCHAR, ',' ORDER BY b.line), '') AS lines, coalesce(max(b.dice), 0.0::DOUBLE) AS best_dice
+FROM documents d LEFT JOIN best b USING (doc_id) GROUP BY d.doc_id
+"""

@@ -52,3 +52,23 @@ def decontaminate(docs, items, window=10):
                     found |= grams[g]
         out[i] = (len(w), len(hit), len(found), sha(",".join(sorted(found))))
     return out
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        n = int(d) * (2 if k % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def personal_data(text):
+    """[(kind, start, end)] of the fixed patterns, by kind and start."""
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    rules = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    ]
+    return [(k, m.start(), m.end()) for k, rx, ok in rules for m in re.finditer(rx, text or "") if ok(m[0])]
