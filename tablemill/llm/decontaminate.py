@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
-from tablemill.llm.scratch import store
+from tablemill.llm.scratch import small_or_shuffled, store
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -230,6 +230,19 @@ def summary(matched: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows in which some window of ``benchmark`` occurs.
+
+    Rows are told by their text (two hashes), so null and repeated ids do not matter.
+    """
+    data = F.col(text_col).cast("string")
+    keys = {"_k1": F.xxhash64(data), "_k2": F.crc32(data.cast("binary"))}
+    rows = docs.filter(data.isNotNull()).select(F.struct(*(c.alias(k) for k, c in keys.items())).alias("_key"), data.alias("text"))
+    matched = match_benchmark(rows, benchmark, "_key", "text", **options)
+    gone = store(matched.filter(F.size("spans") > 0).select("_key._k1", "_key._k2").distinct(), "contaminated")
+    return docs.withColumns(keys).join(small_or_shuffled(gone), list(keys), "left_anti").select(docs.columns)
+
+
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return summary(match_benchmark(docs, items))
