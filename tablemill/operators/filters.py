@@ -43,7 +43,7 @@ def filter_statistics(df: DataFrame, term_col: str, title_col: str, description_
     )
     accepted = F.col("accepted_tier1_only") + F.col("accepted_tier2_only") + F.col("accepted_both")
     name = F.when(F.col("total") == 1, "TOTAL").otherwise(F.col("search_term"))
-    return stats.withColumn("search_term", name).withColumn("rate", F.round(accepted * 100.0 / F.col("found"), 2)).drop("total")
+    return stats.withColumn("search_term", name).withColumn("rate", F.round(F.try_divide(accepted * F.lit(100.0), F.col("found")), 2)).drop("total")
 
 
 def recommendations(stats: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def fill_rate(df: DataFrame, columns: Sequence[str], empty: Sequence[str] = ("",
     filled = lambda c: F.col(c).isNotNull() & ~F.col(c).cast("string").isin(*empty)
     aggs = [F.count_if(filled(c)).alias(f"filled_{k}") for k, c in enumerate(columns)]
     total = F.count("*")
-    aggs += [F.round(F.count_if(filled(c)) * 100.0 / total, 2).alias(f"rate_{k}") for k, c in enumerate(columns)]
+    aggs += [F.round(F.try_divide(F.count_if(filled(c)) * F.lit(100.0), total), 2).alias(f"rate_{k}") for k, c in enumerate(columns)]
     return _rows(df.agg(*aggs), columns, ["filled", "rate"])
 
 
