@@ -216,24 +216,26 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
 
 def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = 100_000) -> DataFrame:
     """``docs`` with every span's text replaced by its kind in brackets; overlapping spans become one."""
-    marked = store(found.filter(F.size("spans") > 0).select("k1", "k2", F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["o"].alias("o")))).alias("_spans")).dropDuplicates(["k1", "k2"]), "marked")
+    spans = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["o"].alias("o"))))
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"))  # so that no name of ours can clash
+    marked = store(found.filter(F.size("spans") > 0).select("k1", "k2", spans.alias("spans")).dropDuplicates(["k1", "k2"]), "marked")
     if marked.limit(small + 1).count() <= small:
         marked = F.broadcast(marked)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("k1", F.xxhash64(F.col(id_col), text)).withColumn("k2", F.crc32(text.cast("binary")))
+    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
+    rows = rows.select("row", text.alias("text"), F.xxhash64(F.col("row")[id_col], text).alias("k1"), F.crc32(text.cast("binary")).alias("k2"))
     rows = rows.join(marked, ["k1", "k2"], "left")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        between = F.substring(F.col(text_col), acc["at"] + 1, x["s"] - acc["at"])
+        between = F.substring(F.col("text"), acc["at"] + 1, x["s"] - acc["at"])
         fresh = x["s"] >= acc["at"]
         out = F.when(fresh, F.concat(acc["out"], F.array(between, F.element_at(names, x["o"] + 1)))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
 
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text_col), acc["at"] + 1, F.char_length(text_col)))
-    clean = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.aggregate("_spans", start, step, rest))
-    return rows.withColumn(text_col, clean).select(docs.columns)
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.char_length("text")))
+    clean = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(F.aggregate("spans", start, step, rest))
+    return rows.select(*(clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op8_pii_bootstrapped(spark, sf_dir: str) -> DataFrame:
