@@ -101,18 +101,17 @@ def standard_level(value: Column) -> Column:
     return out.otherwise("Not Specified")
 
 
-def _hits(text: Column, keywords: list[str]) -> Column:
-    return sum((F.coalesce(text.contains(k), F.lit(False)).cast("int") for k in keywords), F.lit(0))
-
-
 def _best(table: dict[str, list[str]], weighted: list[tuple[Column, float]]) -> Column:
     """The category with the largest weighted number of keywords; of equal ones the first; none: Other."""
-    options = []
-    for k, (name, keywords) in enumerate(table.items()):
-        score = sum((_hits(text, keywords) * F.lit(weight) for text, weight in weighted), F.lit(0.0))
-        options.append(F.struct(score.alias("score"), F.lit(-k).alias("order"), F.lit(name).alias("name")))
-    top = F.array_max(F.array(*options))
-    return F.when(top["score"] > 0, top["name"]).otherwise("Other")
+
+    def decide(row: Column) -> Column:
+        options = []
+        for k, (name, keywords) in enumerate(table.items()):
+            score = sum((rx.count_contained(row[f"t{i}"], keywords) * F.lit(w) for i, (_, w) in enumerate(weighted)), F.lit(0.0))
+            options.append(F.struct(score.alias("score"), F.lit(-k).alias("order"), F.lit(name).alias("name")))
+        return rx.let(F.array_max(F.array(*options)), lambda top: F.when(top["score"] > 0, top["name"]).otherwise("Other"))
+
+    return rx.let(F.struct(*(text.alias(f"t{i}") for i, (text, _) in enumerate(weighted))), decide)
 
 
 def standard_function(value: Column, description: Column) -> Column:

@@ -15,7 +15,7 @@ from tablemill.functions import rx, vocab
 
 def _labels(text: Column, table: dict[str, list[str]]) -> Column:
     """Names of the entries that match, in the table's order."""
-    return F.array_compact(F.array(*(F.when(rx.matches(text, p), F.lit(name)) for name, p in table.items())))
+    return rx.bind(text, lambda row: F.array_compact(F.array(*(F.when(rx.found(row, p), F.lit(name)) for name, p in table.items()))))
 
 
 def education_levels(description: Column, table: dict[str, list[str]] | None = None) -> Column:
@@ -111,8 +111,8 @@ class Vocabulary:
     def found_with_category(self, text: Column) -> Column:
         """Sorted (name, category) structs."""
         own = dict((n, c) for n, c, _ in self.entries)
-        hits = [F.when(rx.matches(text, p), F.struct(F.lit(n).alias("name"), F.lit(own[n]).alias("category"))) for n, p in self._by_name().items()]
-        return F.array_compact(F.array(*hits))
+        pair = lambda n: F.struct(F.lit(n).alias("name"), F.lit(own[n]).alias("category"))
+        return rx.bind(text, lambda row: F.array_compact(F.array(*(F.when(rx.found(row, p), pair(n)) for n, p in self._by_name().items()))))
 
     def found_by_category(self, text: Column) -> Column:
         """Map of category to sorted names, categories in order of name."""

@@ -26,16 +26,16 @@ def keyword_frequency(tier1: Column, tier2: Column, title: Column, description:
     text = F.concat(F.lower(F.coalesce(title, F.lit(""))), F.lit(" "), F.lower(F.coalesce(description, F.lit(""))))
     carried = F.transform(F.concat(keyword_list(tier1), keyword_list(tier2)), F.lower)
     own = [k for k in dict.fromkeys(known) if k not in fixed]
+    table = lambda keys: F.array(*(F.struct(F.lit(k).alias("k"), F.lit(rx.java(rf"\b{re.escape(k)}\b", "")).alias("rx")) for k in keys))
 
     def total(row: Column) -> Column:
-        count = lambda k: F.regexp_count(row["text"], F.lit(rx.java(rf"\b{re.escape(k)}\b")))
-        parts = [count(k) for k in dict.fromkeys(fixed)]
-        parts += [F.when(F.array_contains(row["carried"], k), count(k)).otherwise(0) for k in own]
-        # One scan decides whether any of them can occur at all.
-        return F.when(row["text"].rlike(rx.literals([*fixed, *known])), sum(parts[1:], parts[0])).otherwise(0)
+        # A plain search settles most keywords; only those that are there are counted.
+        there = F.filter(table(dict.fromkeys(fixed)), lambda k: F.contains(row["text"], k["k"]))
+        if own:
+            there = F.concat(there, F.filter(table(own), lambda k: F.array_contains(row["carried"], k["k"]) & F.contains(row["text"], k["k"])))
+        return F.aggregate(there, F.lit(0), lambda n, k: n + F.regexp_count(row["text"], k["rx"]))
 
-    # Bound to names, text and keywords are computed once and not once for each keyword.
-    return F.element_at(F.transform(F.array(F.struct(text.alias("text"), carried.alias("carried"))), total), 1)
+    return rx.let(F.struct(text.alias("text"), carried.alias("carried")), total)
 
 
 def relevance_score(tier1: Column, tier2: Column, frequency: Column) -> Column:
@@ -44,9 +44,5 @@ def relevance_score(tier1: Column, tier2: Column, frequency: Column) -> Column:
     one, two = F.size(keyword_list(tier1)), F.size(keyword_list(tier2))
     premium = rx.contains_any(F.lower(tier1), vocab.PREMIUM_KEYWORDS)
     base = F.when((one > 0) & (two > 0), 4).when((one > 0) & (premium | (one > 1)), 3).when((one > 0) | (two > 1), 2).otherwise(1)
-    # A frequency is dear: bound to a name it is computed once, however often the rule asks for it.
-    bonus = F.transform(
-        F.array(frequency),
-        lambda n: F.when(n >= 21, 6).when(n >= 16, 5).when(n >= 11, 4).when(n >= 6, 3).when(n >= 3, 2).when(n >= 1, 1).otherwise(0),
-    )
-    return F.when(blank(tier1) & blank(tier2), 0).otherwise(F.least(base + F.element_at(bonus, 1), F.lit(10)))
+    bonus = rx.let(frequency, lambda n: F.when(n >= 21, 6).when(n >= 16, 5).when(n >= 11, 4).when(n >= 6, 3).when(n >= 3, 2).when(n >= 1, 1).otherwise(0))
+    return F.when(blank(tier1) & blank(tier2), 0).otherwise(F.least(base + bonus, F.lit(10)))

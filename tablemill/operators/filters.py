@@ -20,13 +20,15 @@ def two_tier_detail(title: Column, description: Column) -> Column:
     """Struct of accepted, rejected_negative, tier1_match, tier2_match and the keywords of both tiers;
     all empty without a title or with a negative keyword in it."""
     negative = ~rx.blank(title) & rx.contains_any(F.lower(title), [w.lower() for w in vocab.NEGATIVE_KEYWORDS])
-    skip = rx.blank(title) | negative
     none = F.array().cast("array<string>")
-    one = F.when(skip, none).otherwise(rx.found_keywords(title, vocab.TITLE_KEYWORDS))
-    two = F.when(skip, none).otherwise(rx.found_keywords(description, vocab.STRONG_KEYWORDS))
-    return F.struct(
-        ((F.size(one) > 0) | (F.size(two) > 0)).alias("accepted"), negative.alias("rejected_negative"), (F.size(one) > 0).alias("tier1_match"),
-        (F.size(two) > 0).alias("tier2_match"), one.alias("tier1_keywords"), two.alias("tier2_keywords"),
+    tiers = F.struct(rx.found_keywords(title, vocab.TITLE_KEYWORDS).alias("one"), rx.found_keywords(description, vocab.STRONG_KEYWORDS).alias("two"), negative.alias("no"))
+    nothing = F.struct(none.alias("one"), none.alias("two"), negative.alias("no"))
+    return rx.let(
+        F.when(rx.blank(title) | negative, nothing).otherwise(tiers),
+        lambda t: F.struct(
+            ((F.size(t["one"]) > 0) | (F.size(t["two"]) > 0)).alias("accepted"), t["no"].alias("rejected_negative"), (F.size(t["one"]) > 0).alias("tier1_match"),
+            (F.size(t["two"]) > 0).alias("tier2_match"), t["one"].alias("tier1_keywords"), t["two"].alias("tier2_keywords"),
+        ),
     )
 
 

@@ -147,3 +147,11 @@ def test_profile_of_nothing(spark):
     assert [tuple(r) for r in profile.fill_rate(df, ["a"]).collect()] == [("a", 0, None)]
     assert [tuple(r) for r in profile.distinct_counts(df, ["a", "b"]).orderBy("column").collect()] == [("a", 0), ("b", 0)]
     assert profile.value_distribution(df, "a", 3).collect() == []
+
+
+@pytest.mark.parametrize("pattern,want", [
+    (r"\bph\.?d\.?\b", ["ph"]), (r"\b(physics|chemistry|biology)\b", ["physics", "chemistry", "biology"]), (r"\bm\.?s\.?\b(?!\s*office)", []), (r"\ba|b\b", []),
+    (r"\bengineer(ing)?\s+(field|major)\b", ["engineer"]), (r"x{2}yz", ["yz"]), (r"[ab]?cd", ["cd"]), (r"\bR,\s*Python\b", ["python"]),
+])
+def test_needed_literals(pattern, want):
+    assert rx.needed_literals(pattern) == want
