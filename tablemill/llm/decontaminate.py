@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
-from tablemill.llm.scratch import small_or_shuffled, store
+from tablemill.llm.scratch import short_batches, small_or_shuffled, store
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 _HEAD = 3
 
 
@@ -200,6 +200,7 @@ def match_benchmark(
     count once.  Other columns are ignored.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).filter("item is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))

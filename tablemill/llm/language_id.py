@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
 from tablemill.llm.labelled import bounded_sample, crc_mod
+from tablemill.llm.scratch import short_batches
 
 PER_LANGUAGE = 150
 REFERENCE = 30_000
@@ -213,6 +214,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
         return rows.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     out = rows.mapInArrow(_predictor(docs.sparkSession.sparkContext.broadcast(model)), f"id {kind}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
@@ -230,6 +232,7 @@ def keep_identified(docs: DataFrame, model: Model | None, min_score: float = MIN
     """``docs`` without those that have no language, or none that stands out (score under ``min_score``)."""
     if model is None:
         return docs
+    short_batches(docs.sparkSession)
     schema = docs.schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

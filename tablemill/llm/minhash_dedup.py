@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 
 from tablemill.llm import superminhash, textbuf
 from tablemill.llm.components import components
-from tablemill.llm.scratch import small_or_shuffled, store
+from tablemill.llm.scratch import short_batches, small_or_shuffled, store
 
 SHINGLE = 5
 SIMILARITY = 75  # percent
 SLOTS = 128
 ROWS = 4  # a pair at 0.75 shares none of the 32 bands with probability 5e-6
 CELL = 200
+SIGN_BYTES = 1 << 18  # text signed at once: small sets keep a permutation of all slots per shingle
 _SALT = np.uint64(0xA5A5A5A55A5A5A5B)
 
 
@@ -50,7 +51,7 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
 def _signer(size: int, slots: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in textbuf.runs(batch, "text"):
+            for run in textbuf.runs(batch, "text", SIGN_BYTES):
                 sets = _sets_of(run, size)
                 n = np.array([len(x) for x in sets], dtype=np.int64)
                 keys = superminhash.band_keys(superminhash.signatures(sets, slots), rows)
@@ -130,6 +131,7 @@ def near_duplicates(
     A row without an id is linked with nothing: its component_id is null and kept is false.  Rows
     that repeat an id are the same document.  Other columns are ignored.
     """
+    short_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = store(
         texts.mapInArrow(_signer(shingle, slots, rows), "id long, n long, k1 long, k2 long, bands array<long>"), "signed"

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
 from tablemill.llm.labelled import bounded_sample, crc_mod
+from tablemill.llm.scratch import short_batches
 
 SAMPLE = 6_000
 BINS = 32
@@ -215,6 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     are ignored.  The sampled ids are broadcast (their number is that bound), the documents are
     scanned once.
     """
+    short_batches(docs.sparkSession)
     known = labels.select(F.col(id_col), (F.col(label_col) == 1).cast("int").alias("label")).filter(F.col(id_col).isNotNull() & F.col("label").isNotNull())
     sample = bounded_sample(known, "label", id_col, per_label, 2)
     texts = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), id_col)
@@ -241,6 +243,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     empty text; without a model every score is 0.5.  Other columns are ignored."""
     if model is None:
         return docs.select(id_col, F.lit(0.5).alias("score"))
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_scorer(docs.sparkSession.sparkContext.broadcast(model)), f"id {kind}, score double").withColumnRenamed("id", id_col)

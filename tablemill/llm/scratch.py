@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Ids that may be broadcast: about 24 bytes each, so 12 MB at most.
 BROADCAST_ROWS = 500_000
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,6 +24,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Cap the rows of an Arrow batch: a row may hold a long text, and both the JVM (outside its heap)
+    and the Python worker hold whole batches.  A smaller setting of the session's own stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, and a
     lost executor costs a re-read instead of the work before it."""
@@ -30,14 +41,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Delete what ``store`` wrote for ``df``; only for tables that no result reads any more."""
-    jvm = df.sparkSession._jvm
-    for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def small_or_shuffled(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` with a broadcast hint if it is proven to hold at most ``limit`` rows; else Spark shuffles."""
     few = ids.limit(limit + 1).count() <= limit

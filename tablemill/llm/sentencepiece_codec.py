@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
+from tablemill.llm.scratch import short_batches
 
-TABLE = 200_000
+TABLE = 150_000
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
 
@@ -89,7 +90,7 @@ def _encoder(model_path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         table = _Table(model) if _separable(model) else None
         for batch in batches:
-            for run in textbuf.runs(batch, "text", textbuf.RUN_BYTES * 2):
+            for run in textbuf.runs(batch, "text"):
                 texts = pc.fill_null(run.column(1).cast(pa.large_string()), "")
                 if table is None:
                     ids = model.encode(texts.to_pylist(), num_threads=1)
@@ -123,6 +124,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     whatever their length; a row's id may be null or repeated; other columns are ignored.
     ``model_path`` must be readable on every executor.
     """
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         _encoder(model_path), f"id {kind}, ids array<int>, decoded string"

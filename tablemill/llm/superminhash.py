@@ -23,7 +23,7 @@ _DENSE = 300
 def _steps(values: np.ndarray, owner: np.ndarray, sets: int, m: int, dense: bool) -> np.ndarray:
     sig = np.full(sets * m, _EMPTY, dtype=np.uint64)
     swaps: list[np.ndarray] = []
-    perm = np.tile(np.arange(m, dtype=np.uint16), (len(values), 1)) if dense else None
+    perm = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(values), 1)) if dense else None
     for j in range(m):
         if not len(values):
             break

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablemill.llm import textbuf
+from tablemill.llm.scratch import short_batches
 
 #: Lengths are summed in blocks of this many, then over the blocks, so that no task sums all of them.
 BLOCK = 1024
@@ -45,6 +46,7 @@ def _counter(path: str, pattern: str):
 def token_lengths(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens of each row; null and empty texts have 0.  ``vocabulary`` (ranks of a byte-level
     BPE) must be readable on every executor.  Other columns are ignored."""
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_counter(vocabulary, pattern), f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
