@@ -1,6 +1,7 @@
 """Cascades and scored categories for titles, types, levels, functions and industries.
 
 Keyword tests are substring tests on purpose: "director" holds "cto", "coordinator" holds "coo".
+The keyword lists of the cascades are fixed values: results depend on each of them and their order.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def extract_level(title: Column, description: Column) -> Column:
     )
 
 
-#: First match decides.
+#: Fixed values; the first match decides.
 FUNCTION_RULES = [
     ("Operations Research", ["operations research", "optimization", "mathematical", "algorithm"]),
     ("Data Science", ["data scien", "machine learning", "ml engineer", "ai engineer"]),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablemill.functions import rx, vocab
 
 _BLOCKS = r"<(br|p|div|h[1-6]|li|tr)[^>]*/?>"
-#: (pattern, replacement, flags) in order; d keeps $ and . to newlines.
+#: Fixed values: (pattern, replacement, flags) in order.
 MARKDOWN = [
     (r"^#{1,6}\s*", "", "m"),
     (r"\*{1,2}([^*]+)\*{1,2}", "$1", ""),

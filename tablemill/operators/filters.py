@@ -95,6 +95,7 @@ def flag(value: Column) -> Column:
     return value.cast("boolean").cast("int")
 
 
+#: What a required column holds when it is blank.
 EXPORT_DEFAULTS = {
     "platform": "unknown", "url": "", "actual_role": "Unknown", "job_type_filled": "Not Specified", "job_level_std": "Not Specified",
     "job_function_std": "Other", "company_industry_std": "Other", "company_name": "Unknown", "country": "Unknown",
