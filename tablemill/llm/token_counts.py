@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablemill.llm import textbuf
-from tablemill.llm.scratch import short_batches
+from tablemill.llm.scratch import short_batches, store
 
 #: Lengths are summed in blocks of this many, then over the blocks, so that no task sums all of them.
-BLOCK = 1024
+BLOCK = 128
 
 
 def _encoding(path: str, pattern: str):
@@ -98,4 +98,5 @@ def default_vocabulary() -> tuple[str, str]:
 
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:
     lengths = token_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet"), *default_vocabulary())
-    return suffix_sums(length_histogram(lengths))
+    # Stored, because the sums read it twice and the texts should be encoded once.
+    return suffix_sums(store(length_histogram(lengths), "lengths"))
