@@ -5,9 +5,11 @@ centroids is a cell of the index.  A query visits cells in the order of the summ
 halves, popped from a heap, until the cells visited hold enough entries; these are reranked by the
 exact measure.  Codebooks are fitted on a bounded sample; every row is indexed.
 
-Vectors are compared in blocks: a cell's entries and the queries that visit it are both dealt into
-blocks of bounded size, so a cell that holds a third of all rows is many tasks.  A block returns the
-best ``k`` of each of its queries, never its pairs.
+The cells of one first-half centroid form a row of the index, and of a row a query visits the cells
+of its nearest second-half centroids; so a visit is a row and how many of its cells.  Vectors are
+compared in blocks: a row's entries and the queries that visit it are both dealt into blocks of
+bounded size, so a cell that holds a third of all entries is many tasks.  A block returns the best
+``k`` of each of its queries, never its pairs.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ from pyspark.sql.window import Window
 from tablemill.llm.scratch import store
 
 SAMPLE = 20_000
-CENTROIDS = 24
+CENTROIDS = 64
 ITERATIONS = 15
-PROBE_SHARE = 0.12
+PROBE_SHARE = 0.6
 PROBE_LEAST = 2_000
 BLOCK = 1_000
 QUERY_BLOCK = 400
@@ -54,20 +56,24 @@ def _distance(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return (x**2).sum(axis=1)[:, None] - 2 * x @ centre.T + (centre**2).sum(axis=1)
 
 
-def cells_by_distance(first: np.ndarray, second: np.ndarray, size: np.ndarray, wanted: int) -> list[int]:
-    """Cells i * len(second) + j by rising first[i] + second[j], until they hold ``wanted`` entries."""
+def reach_by_distance(first: np.ndarray, second: np.ndarray, size: np.ndarray, wanted: int) -> np.ndarray:
+    """How many cells of each row are visited, cells (i, j) being taken by rising first[i] + second[j]
+    until they hold ``wanted`` entries; ``size`` are the entries of each cell.  Of a row the cells
+    come by rising second[j], so their number tells which."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    heap, seen, out, held = [(first[a[0]] + second[b[0]], 0, 0)], {(0, 0)}, [], 0
+    x, y, held_by = first[a].tolist(), second[b].tolist(), size[np.ix_(a, b)].tolist()
+    reach, held, heap = [0] * len(x), 0, [(x[0] + y[0], 0, 0)]
     while heap and held < wanted:
         _, i, j = heapq.heappop(heap)
-        cell = int(a[i]) * len(second) + int(b[j])
-        if size[cell]:
-            out.append(cell)
-            held += int(size[cell])
-        for i2, j2 in ((i + 1, j), (i, j + 1)):
-            if i2 < len(a) and j2 < len(b) and (i2, j2) not in seen:
-                seen.add((i2, j2))
-                heapq.heappush(heap, (first[a[i2]] + second[b[j2]], i2, j2))
+        reach[i] += 1
+        held += held_by[i][j]
+        # A cell is offered once its neighbours before it are taken: at most one of a row is in the heap.
+        if j + 1 < len(y) and (i == 0 or reach[i - 1] > j + 1):
+            heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
+        if i + 1 < len(x) and reach[i + 1] == j:
+            heapq.heappush(heap, (x[i + 1] + y[j], i + 1, j))
+    out = np.zeros(len(first), dtype=np.int32)
+    out[a] = reach
     return out
 
 
@@ -77,14 +83,14 @@ class Codebooks:
         self.half = max(1, self.width // 2)
         self.first = _kmeans(sample[:, : self.half], centroids, 1)
         self.second = _kmeans(sample[:, self.half :], centroids, 2) if self.width > 1 else np.zeros((1, 0))
-        self.cells = len(self.first) * len(self.second)
+        self.shape = len(self.first), len(self.second)
 
     def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _distance(x[:, : self.half], self.first), _distance(x[:, self.half :], self.second)
 
-    def cell(self, x: np.ndarray) -> np.ndarray:
+    def cell(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.distances(x)
-        return a.argmin(axis=1) * len(self.second) + b.argmin(axis=1)
+        return a.argmin(axis=1), b.argmin(axis=1)
 
 
 def usable(column: str) -> Column:
@@ -102,8 +108,8 @@ def _assigner(shared):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell = shared.value.cell(_rows(batch.column(1), shared.value.width))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], ["id", "vector", "cell"])
+                i, j = shared.value.cell(_rows(batch.column(1), shared.value.width))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))], ["id", "vector", "i", "j"])
 
     return assign
 
@@ -114,31 +120,40 @@ def _prober(shared, sizes: np.ndarray, wanted: int):
         for batch in batches:
             if batch.num_rows:
                 a, b = book.distances(_rows(batch.column(1), book.width))
-                cells = [cells_by_distance(x, y, sizes, wanted) for x, y in zip(a, b)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], ["id", "vector", "cells"])
+                reach = [reach_by_distance(x, y, sizes, wanted) for x, y in zip(a, b)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reach, pa.list_(pa.int32()))], ["id", "vector", "reach"])
 
     return probe
 
 
-def _reranker(k: int):
+def _reranker(shared, k: int):
     none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
-    def rerank(cell: pd.DataFrame) -> pd.DataFrame:
-        side = cell["side"].to_numpy()
-        q, e = cell[side == 0], cell[side == 1]
+    def rerank(block: pd.DataFrame) -> pd.DataFrame:
+        side = block["side"].to_numpy()
+        q, e = block[side == 0], block[side == 1]
         if not len(q) or not len(e):
             return none
-        e = e.sort_values("id", kind="stable")
         a, b = np.stack(q["vector"].to_numpy()).astype(np.float64), np.stack(e["vector"].to_numpy()).astype(np.float64)
-        score = np.zeros((len(a), len(b)))
-        for d in range(a.shape[1]):  # one order of summation: equal vectors get equal scores
-            score += a[:, d, None] * b[None, :, d]
-        own = q["id"].to_numpy()[:, None] == e["id"].to_numpy()[None, :]
-        score[own] = -np.inf
-        order = np.argsort(-score, axis=1, kind="stable")[:, : k]
-        row = np.repeat(np.arange(len(a)), order.shape[1])
-        out = pd.DataFrame({"query_id": q["id"].to_numpy()[row], "vec_id": e["id"].to_numpy()[order.ravel()], "score": score[row, order.ravel()]})
-        return out[np.isfinite(out["score"])]
+        q_id, e_id = q["id"].to_numpy(), e["id"].to_numpy()
+        _, far = shared.value.distances(a)
+        place = np.empty(far.shape, dtype=np.int32)
+        np.put_along_axis(place, far.argsort(axis=1, kind="stable"), np.arange(far.shape[1], dtype=np.int32)[None, :], axis=1)
+        seen = place[:, e["j"].to_numpy()] < q["j"].to_numpy()[:, None]
+        seen &= q_id[:, None] != e_id[None, :]
+        rough = np.where(seen, a @ b.T, -np.inf)
+        # The product's rounding depends on the place in the block: what is near the k-th is summed
+        # again in one order, so that equal vectors get equal scores.
+        slack = 1e-12 * a.shape[1] * np.sqrt((a**2).sum(axis=1)[:, None] * (b**2).sum(axis=1).max())
+        last = np.partition(rough, -k, axis=1)[:, -k, None] if rough.shape[1] > k else np.full((len(a), 1), -np.inf)
+        row, col = np.nonzero(seen & (rough >= last - slack))
+        score = np.zeros(len(row))
+        for d in range(a.shape[1]):
+            score += a[row, d] * b[col, d]
+        order = np.lexsort((e_id[col], -score, row))
+        row, col, score = row[order], col[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return pd.DataFrame({"query_id": q_id[row[keep]], "vec_id": e_id[col[keep]], "score": score[keep]})
 
     return rerank
 
@@ -174,26 +189,28 @@ def nearest(
     picked = rows.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 40)) <= int(share * (1 << 40))).select("id", "vector").limit(2 * SAMPLE).collect()
     sample = np.array([r["vector"] for r in sorted(picked, key=lambda r: (r["id"], r["vector"]))])
     book = spark.sparkContext.broadcast(Codebooks(sample, centroids))
-    entries = store(rows.select("id", "vector").mapInArrow(_assigner(book), "id long, vector array<double>, cell int"), "cells")
-    sizes = np.zeros(book.value.cells, dtype=np.int64)
-    for cell, count in entries.groupBy("cell").count().collect():
-        sizes[cell] = count
+    entries = store(rows.select("id", "vector").mapInArrow(_assigner(book), "id long, vector array<double>, i int, j int"), "cells")
+    sizes = np.zeros(book.value.shape, dtype=np.int64)
+    for i, j, count in entries.groupBy("i", "j").count().collect():
+        sizes[i, j] = count
     wanted = max(probe_least, int(np.ceil(total * probe_share)))
     asked = rows.filter("is_query").select("id", "vector")
-    probes = store(asked.mapInArrow(_prober(book, sizes, wanted), "id long, vector array<double>, cells array<int>"), "probes")
-    visits = dict(probes.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect())
-    # Two bounded tables: as many rows as there are cells.
+    probes = store(asked.mapInArrow(_prober(book, sizes, wanted), "id long, vector array<double>, reach array<int>"), "probes")
+    visit = probes.select("id", "vector", F.posexplode("reach").alias("i", "j")).filter("j > 0")
+    visits = dict(visit.groupBy("i").count().collect())
+    # A bounded table: as many rows as the first half has centroids.
     blocks = spark.createDataFrame(
-        [(c, max(1, -(-int(sizes[c]) // BLOCK)), max(1, -(-visits.get(c, 1) // QUERY_BLOCK))) for c in range(len(sizes))],
-        "cell int, entry_blocks int, query_blocks int",
+        [(i, max(1, -(-int(sizes[i].sum()) // BLOCK)), max(1, -(-visits.get(i, 1) // QUERY_BLOCK))) for i in range(len(sizes))],
+        "i int, entry_blocks int, query_blocks int",
     )
-    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    part = lambda n: F.pmod(F.xxhash64("id", "j"), F.col(n)).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    q = probes.select("id", "vector", F.explode("cells").alias("cell")).join(F.broadcast(blocks), "cell")
-    q = q.select("cell", part("query_blocks").alias("x"), span("entry_blocks").alias("y"), "id", "vector", F.lit(0).alias("side"))
-    e = entries.filter(F.col("cell").isin(sorted(visits))).join(F.broadcast(blocks), "cell")
-    e = e.select("cell", span("query_blocks").alias("x"), part("entry_blocks").alias("y"), "id", "vector", F.lit(1).alias("side"))
-    near = q.unionByName(e).groupBy("cell", "x", "y").applyInPandas(_reranker(k), "query_id long, vec_id long, score double")
+    # j is the number of cells visited for a query, and the cell for an entry.
+    q = visit.join(F.broadcast(blocks), "i")
+    q = q.select("i", part("query_blocks").alias("x"), span("entry_blocks").alias("y"), "id", "vector", "j", F.lit(0).alias("side"))
+    e = entries.filter(F.col("i").isin(sorted(visits))).join(F.broadcast(blocks), "i")
+    e = e.select("i", span("query_blocks").alias("x"), part("entry_blocks").alias("y"), "id", "vector", "j", F.lit(1).alias("side"))
+    near = q.unionByName(e).groupBy("i", "x", "y").applyInPandas(_reranker(book, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -199,10 +199,19 @@ def test_nearest_recall(spark):
 
 def test_cells_come_in_order_of_summed_distance():
     rng = np.random.default_rng(6)
-    a, b, size = rng.random(7), rng.random(5), rng.integers(0, 4, 35)
-    order = multi_index.cells_by_distance(a, b, size, 10**9)
-    total = [a[c // 5] + b[c % 5] for c in order]
-    assert total == sorted(total) and set(order) == set(np.flatnonzero(size).tolist())
+    for _ in range(20):
+        a, b, size = rng.random(7), rng.random(5), rng.integers(0, 4, (7, 5))
+        wanted = int(rng.integers(1, size.sum() + 3))
+        order = sorted(itertools.product(range(7), range(5)), key=lambda c: a[c[0]] + b[c[1]])
+        held, taken = 0, []
+        for i, j in order:
+            if held >= wanted:
+                break
+            taken.append((i, j))
+            held += size[i, j]
+        reach = multi_index.reach_by_distance(a, b, size, wanted)
+        near = np.argsort(b)
+        assert {(i, int(near[k])) for i in range(7) for k in range(reach[i])} == set(taken)
 
 
 def test_nearest_of_nothing(spark):
