@@ -33,7 +33,7 @@ MAX_LANGUAGES = 64
 TOTAL_REFERENCE = 400_000
 MAX_SYMBOLS = 250
 SEGMENT = 256
-MIN_SCORE = 0.5
+MIN_SCORE = 0.3
 UNKNOWN = "und"
 _OTHER, _GAP = 0, 1
 
