@@ -164,12 +164,16 @@ def function_word_language(text: Column) -> Column:
     """The built-in detector: the language whose function words are most frequent; NA for under 20
     characters or no such word.  Of equal languages the first in the table wins."""
     low = F.lower(rx.strip(F.coalesce(text, F.lit(""))))
-    options = []
-    for k, (code, words) in enumerate(vocab.FUNCTION_WORDS.items()):
-        n = F.regexp_count(low, F.lit(rx.java(rf"\b({rx.literals(words)})\b")))
-        options.append(F.struct(n.alias("n"), F.lit(-k).alias("order"), F.lit(code).alias("code")))
-    best = F.array_max(F.array(*options))
-    return F.when((F.char_length(low) < 20) | (best["n"] == 0), vocab.NA).otherwise(best["code"])
+
+    def decide(row: Column) -> Column:
+        options = []
+        for k, (code, words) in enumerate(vocab.FUNCTION_WORDS.items()):
+            n = F.size(F.filter(row["words"], lambda w: w.isin(words)))  # noqa: B023 (called at once)
+            options.append(F.struct(n.alias("n"), F.lit(-k).alias("order"), F.lit(code).alias("code")))
+        return rx.let(F.array_max(F.array(*options)), lambda best: F.when(row["short"] | (best["n"] == 0), vocab.NA).otherwise(best["code"]))
+
+    # Words are cut once; a pattern for each language would read the text again each time.
+    return rx.let(F.struct(F.split(low, r"(?U)\W+").alias("words"), (F.char_length(low) < 20).alias("short")), decide)
 
 
 def detect_language(df: DataFrame, text_col: str, language_col: str | None = "language", detector: Callable[[str], str] | None = None, into: str = "detected_language") -> DataFrame:
