@@ -1,12 +1,16 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Vectors are cut into two halves; each half is quantised by its own codebook, and a pair of
-centroids is a cell of the index.  A query visits cells in the order of the summed distances of its
-halves, popped from a heap, until the cells visited hold enough entries; these are reranked by the
-exact measure.  Codebooks are fitted on a bounded sample; every row is indexed.
+centroids is a cell of the index.  A query visits cells in the order of the inner product that their
+entries can reach, popped from a heap, until the cells visited hold enough entries; these are
+reranked by the exact measure.  What entries of a cell can reach is summed over the halves: the
+query's product with the centroid, which is their mean, and ``SPREAD`` standard deviations of it, by
+the cell's radius and the query's length.  Distances would not do: of vectors of unequal length the
+nearest by inner product are long, and lie far away.  Codebooks are fitted on a bounded sample;
+every row is indexed.
 
 The cells of one first-half centroid form a row of the index, and of a row a query visits the cells
-of its nearest second-half centroids; so a visit is a row and how many of its cells.  Vectors are
+of its best second-half centroids; so a visit is a row and how many of its cells.  Vectors are
 compared in blocks: a row's entries and the queries that visit it are both dealt into blocks of
 bounded size, so a cell that holds a third of all entries is many tasks.  A block returns the best
 ``k`` of each of its queries, never its pairs.
@@ -29,6 +33,7 @@ from tablemill.llm.scratch import store
 SAMPLE = 20_000
 CENTROIDS = 64
 ITERATIONS = 15
+SPREAD = 2.0
 PROBE_SHARE = 0.6
 PROBE_LEAST = 2_000
 BLOCK = 1_000
@@ -56,6 +61,13 @@ def _distance(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return (x**2).sum(axis=1)[:, None] - 2 * x @ centre.T + (centre**2).sum(axis=1)
 
 
+def _radius(x: np.ndarray, centre: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Root mean square deviation, per dimension, of the rows of each centre."""
+    far = ((x - centre[near]) ** 2).sum(axis=1) / max(1, x.shape[1])
+    count = np.bincount(near, minlength=len(centre))
+    return np.sqrt(np.bincount(near, weights=far, minlength=len(centre)) / np.maximum(count, 1))
+
+
 def reach_by_distance(first: np.ndarray, second: np.ndarray, size: np.ndarray, wanted: int) -> np.ndarray:
     """How many cells of each row are visited, cells (i, j) being taken by rising first[i] + second[j]
     until they hold ``wanted`` entries; ``size`` are the entries of each cell.  Of a row the cells
@@ -84,10 +96,18 @@ class Codebooks:
         self.first = _kmeans(sample[:, : self.half], centroids, 1)
         self.second = _kmeans(sample[:, self.half :], centroids, 2) if self.width > 1 else np.zeros((1, 0))
         self.shape = len(self.first), len(self.second)
+        i, j = self.cell(sample)
+        self.radius = _radius(sample[:, : self.half], self.first, i), _radius(sample[:, self.half :], self.second, j)
 
     def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _distance(x[:, : self.half], self.first), _distance(x[:, self.half :], self.second)
 
+    def shortfalls(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each half: the less, the larger the inner products that a centroid's entries can reach."""
+        halves = (x[:, : self.half], self.first, self.radius[0]), (x[:, self.half :], self.second, self.radius[1])
+        a, b = (-(q @ c.T) - SPREAD * np.sqrt((q**2).sum(axis=1))[:, None] * radius for q, c, radius in halves)
+        return a, b
+
     def cell(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.distances(x)
         return a.argmin(axis=1), b.argmin(axis=1)
@@ -119,7 +139,7 @@ def _prober(shared, sizes: np.ndarray, wanted: int):
         book = shared.value
         for batch in batches:
             if batch.num_rows:
-                a, b = book.distances(_rows(batch.column(1), book.width))
+                a, b = book.shortfalls(_rows(batch.column(1), book.width))
                 reach = [reach_by_distance(x, y, sizes, wanted) for x, y in zip(a, b)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reach, pa.list_(pa.int32()))], ["id", "vector", "reach"])
 
@@ -136,7 +156,7 @@ def _reranker(shared, k: int):
             return none
         a, b = np.stack(q["vector"].to_numpy()).astype(np.float64), np.stack(e["vector"].to_numpy()).astype(np.float64)
         q_id, e_id = q["id"].to_numpy(), e["id"].to_numpy()
-        _, far = shared.value.distances(a)
+        _, far = shared.value.shortfalls(a)
         place = np.empty(far.shape, dtype=np.int32)
         np.put_along_axis(place, far.argsort(axis=1, kind="stable"), np.arange(far.shape[1], dtype=np.int32)[None, :], axis=1)
         seen = place[:, e["j"].to_numpy()] < q["j"].to_numpy()[:, None]

@@ -197,6 +197,22 @@ def test_nearest_recall(spark):
     assert recall >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.5, 1.0])
+def test_nearest_recall_on_vectors_of_unequal_length(spark, spread):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None] * np.exp(spread * rng.normal(size=6000))[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in multi_index.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x.astype(float) @ x.T.astype(float)
+    np.fill_diagonal(score, -np.inf)
+    recall = np.mean([len(found[i] & set(np.argsort(-score[i])[:20].tolist())) / 20 for i in range(0, 6000, 20)])
+    print("recall", spread, recall)
+    assert recall >= 0.9
+
+
 def test_cells_come_in_order_of_summed_distance():
     rng = np.random.default_rng(6)
     for _ in range(20):
