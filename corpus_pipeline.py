@@ -14,7 +14,7 @@ from tablemill.llm import decontaminate, language_id, minhash_dedup, pii, scratc
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, or that no learned language stands out for."""
+    """Drop documents without a letter, or that no learned language explains."""
     return language_id.keep_identified(docs, language_id.fit_documents(docs))
 
 

@@ -33,7 +33,10 @@ MAX_LANGUAGES = 64
 TOTAL_REFERENCE = 400_000
 MAX_SYMBOLS = 250
 SEGMENT = 256
-MIN_SCORE = 0.3
+#: A text is of no learnt language if its phrases exceed FREE_PHRASES and MARGIN times the highest rate of learnt text.
+MARGIN = 1.2
+FREE_PHRASES = 2
+LEAST_LEFT = 20
 UNKNOWN = "und"
 _OTHER, _GAP = 0, 1
 
@@ -81,9 +84,12 @@ class Model:
     """The languages' automata in one transition table."""
 
     def __init__(self, texts: dict[str, str]):
+        #: The highest rate of phrases a symbol seen on learnt text; ``fit`` measures it.
+        self.rate = np.inf
         self.languages = sorted(texts)
         seen = Counter(c for t in texts.values() for c in t.lower() if c.isalpha())
         self.alphabet = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_SYMBOLS])
+        self.folded = len(seen) > len(self.alphabet)
         self.symbols = len(self.alphabet) + 2
         tables, self.weight, self.dead, self.start, base = [], [], [], [], 0
         coder = Coder(self.alphabet)
@@ -133,6 +139,21 @@ class Model:
             out[:, k] = np.bincount(owner, weights=count[k], minlength=len(size))
         return out
 
+    def rates(self, texts: list[str]) -> np.ndarray:
+        """Phrases a symbol, beyond the free ones, in the language that explains each text best; texts without letters have none."""
+        coded, first, letters = Coder(self.alphabet).encode([t.lower() for t in texts])
+        count, size = self.phrases(coded, first).min(axis=1), np.diff(first)
+        return ((count - FREE_PHRASES) / np.maximum(size, 1))[letters > 0]
+
+    def explains(self, coded: np.ndarray, first: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Is each text as well explained by some language as learnt text is?  Short texts are, unless
+        most of their letters occur in no language."""
+        least = self.phrases(coded, first).min(axis=1)
+        alike = least <= FREE_PHRASES + MARGIN * self.rate * np.diff(first)
+        foreign = np.concatenate([[0], np.cumsum(coded == _OTHER)])
+        known = self.folded | (2 * np.diff(foreign[first]) <= letters)
+        return (letters > 0) & alike & known
+
     def predict(self, coded: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language number, its posterior under the code lengths)."""
         bits = self.phrases(coded, first) * self.weight
@@ -172,15 +193,33 @@ def fit(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
     if not texts:
         return None
     size = min(REFERENCE, TOTAL_REFERENCE // len(texts))
-    joined = {}
+    used, left = {}, {}
     for lang, found in texts.items():
-        room, parts = size, []
+        room, parts, rest = size, [], []
         for _, text in sorted(found):  # whole documents only
             if len(text) <= room:
                 parts.append(text)
                 room -= len(text) + 1
-        joined[lang] = "\n".join(parts or [min((t for _, t in found), key=len)])
-    return Model(joined)
+            else:
+                rest.append(text)
+        used[lang], left[lang] = parts or [min((t for _, t in found), key=len)], rest
+    model = Model({lang: "\n".join(parts) for lang, parts in used.items()})
+    model.rate = _learnt_rate(model, used, left)
+    return model
+
+
+def _learnt_rate(model: Model, used: dict[str, list[str]], left: dict[str, list[str]]) -> float:
+    """The highest rate on labelled texts that the automata do not hold; where too few were left over,
+    on each half of the texts by automata of the other half.  The highest of all languages: text with
+    more noise than a language's sample happens to hold stays."""
+    rates = [model.rates([t for texts in left.values() for t in texts])]
+    few = {lang: parts for lang, parts in used.items() if len(left[lang]) < LEAST_LEFT and len(parts) > 1}
+    for k in (0, 1) if few else ():
+        half = Model({lang: "\n".join(parts[k::2] if lang in few else parts) for lang, parts in used.items()})
+        rates.append(half.rates([t for parts in few.values() for t in parts[1 - k :: 2]]))
+    found = np.concatenate(rates)
+    # Learnt text that repeats itself tells nothing of other text: no less than an entropy of 2.5 bits a symbol.
+    return max(float(found.max()), 2.5 / float(model.weight.max())) if len(found) else np.inf
 
 
 def hash_order(key, text: str) -> int:
@@ -228,8 +267,12 @@ def fit_documents(docs: DataFrame) -> Model | None:
     return fit(docs.filter(~held_out()))
 
 
-def keep_identified(docs: DataFrame, model: Model | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without those that have no language, or none that stands out (score under ``min_score``)."""
+def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` without those that have no letter, or that no learnt language explains as it does learnt text.
+
+    What counts is the cross-parsing rate itself and not the score, which only compares languages:
+    foreign text and gibberish may score 1, and a clean word that several languages hold scores low.
+    """
     if model is None:
         return docs
     short_batches(docs.sparkSession)
@@ -242,8 +285,7 @@ def keep_identified(docs: DataFrame, model: Model | None, min_score: float = MIN
             for run in textbuf.runs(batch, "text"):
                 at = run.schema.get_field_index("text")
                 coded, first, letters = coder.encode([(t or "").lower() for t in run.column(at).to_pylist()])
-                _, score = shared.value.predict(coded, first)
-                yield run.filter(pa.array((letters > 0) & (score >= min_score)))
+                yield run.filter(pa.array(shared.value.explains(coded, first, letters)))
 
     return docs.mapInArrow(keep, schema)
 

@@ -409,6 +409,25 @@ def test_language_edges(spark, none):
     assert language_id.identify(none, model).count() == 0
 
 
+def test_only_texts_of_learnt_languages_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit_documents(docs)
+    print("rate", model.rate)
+    foreign = [
+        "Il gatto dorme sul divano mentre la pioggia cade lentamente sulla città antica e nessuno guarda fuori",
+        "Příliš žluťoučký kůň úpěl ďábelské ódy a lidé se divili",
+        "Сегодня утром мы пошли в лес собирать грибы и ягоды", "東京は今日も晴れです", "Ж",
+        "xkqz vbnr tplk wqjh zzxc mnbv qwrt plkj hgfd", "xqzkvbjw wqjx",
+    ]
+    clean = ["en", "de", "la", "This.", "the that", "der und die"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(foreign + clean)], "doc_id long, text string")
+    assert {r.doc_id for r in language_id.keep_identified(df, model).collect()} == set(range(len(foreign), len(foreign + clean)))
+    kept = {r.doc_id for r in language_id.keep_identified(docs, model).select("doc_id").collect()}
+    lost = [(r.doc_id, r.lang, r.text[:90]) for r in docs.collect() if r.doc_id not in kept and r.text and any(c.isalpha() for c in r.text)]
+    print("lost", len(lost), lost)
+    assert lost == []
+
+
 # 10 quality
 
 
