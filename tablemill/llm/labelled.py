@@ -12,16 +12,20 @@ def crc_mod(id_col: str, divisor: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor
 
 
-def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int, max_labels: int) -> DataFrame:
-    """About ``per_label`` rows (at most twice that) of each of the ``max_labels`` commonest labels,
-    chosen by a hash of ``key`` so that the choice does not depend on partitioning.
+def bounded_sample(rows: DataFrame, label: str, place: Column, per_label: int, max_labels: int, in_all: int | None = None) -> DataFrame:
+    """About ``per_label`` rows (at most twice that in all) of each of the ``max_labels`` commonest
+    labels, and about ``in_all`` rows altogether, chosen by the hash ``place`` so that the choice does
+    not depend on partitioning.
 
-    One aggregation finds each label's share; the rows are then taken by a filter, without sorting
-    or gathering a label in one task.
+    One aggregation over the labels alone finds each label's share; the rows are then taken by a
+    filter, without sorting or gathering a label in one task.
     """
     counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
-    place = F.pmod(F.xxhash64(key), F.lit(_SCALE))
-    chosen = F.lit(False)
-    for value, count in counts:
-        chosen |= (F.col(label) == F.lit(value)) & (place < min(_SCALE, int(_SCALE * per_label / count)))
-    return rows.filter(chosen).limit(2 * per_label * max(1, len(counts)))
+    if in_all:
+        per_label = min(per_label, max(1, in_all // max(1, len(counts))))
+    bounds = [(value, min(_SCALE, int(_SCALE * per_label / count) + 1)) for value, count in counts]
+    spark = rows.sparkSession
+    kind = rows.schema[label].dataType.simpleString()
+    table = F.broadcast(spark.createDataFrame(bounds, f"_label {kind}, _most long"))  # at most max_labels rows
+    chosen = rows.join(table, (rows[label] == table["_label"]) & (F.pmod(place, F.lit(_SCALE)) < F.col("_most"))).drop("_label", "_most")
+    return chosen.limit(2 * per_label * max(1, len(counts)))

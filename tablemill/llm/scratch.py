@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,25 +14,32 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 #: Rows of an Arrow batch of texts.
 BATCH_ROWS = 1_000
+#: Bytes of an Arrow batch, beyond which it ends.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The session's spark.checkpoint.dir.  Only where that is unset and driver and executors are one
+    process (tests), a folder of our own; on a cluster executors would not see it, so that is an error."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tablemill-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
         sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Cap the rows of an Arrow batch: a row may hold a long text, and both the JVM (outside its heap)
-    and the Python worker hold whole batches.  A smaller setting of the session's own stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Cap the rows and bytes of an Arrow batch: a row may hold a long text, and both the JVM (outside its
+    heap) and the Python worker hold whole batches.  Smaller settings of the session's own stay; Spark
+    reads them when a plan runs, so they hold from now on."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
