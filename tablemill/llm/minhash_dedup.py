@@ -3,12 +3,21 @@
 1. One pass over the texts makes each document's set of distinct word shingles, its SuperMinHash
    band keys and a 128-bit key of the set.  Documents with the same set form a class; the class is
    represented by its smallest id, so exact copies cost one row each and no pairs.
-2. A bucket is a band key that at least two classes share.  Every member is verified against the
-   bucket's centre (its smallest id): a star, not all pairs.
-3. The verified links are joined into components.  In the buckets that still hold more than one
-   component, the members outside the centre's component are verified against all other members,
-   in cells of at most ``CELL`` x ``CELL`` members.  So every pair of different components that
-   shares a bucket has been compared on full sets, and no such link is lost.
+2. A bucket is a band key that at least two classes share.  Buckets of more than ``CELL`` members
+   are thinned first, without loss.  Shingles of their members are ordered by how many members hold
+   them (a sketch of counts; any order is right, a good one is quick), rarest first.  Two sets that
+   are similar enough share a shingle among the first few of each, so a member whose first shingles
+   no other member has among its own is linked with none of them and leaves the bucket.  Texts made
+   from one template share buckets by the thousand, but what comes first is what is their own.
+3. Every member left is verified against the bucket's centre (its smallest id): a star, not all pairs.
+4. The verified links are joined into components.  From large buckets, members whose first shingles are
+   only shared within their component leave too.  In the buckets that still hold more than one component, the members
+   outside the centre's component are verified against all other members, in cells of at most
+   ``CELL`` x ``CELL`` members.  So every pair of different components that shares a bucket has been
+   compared on full sets, or cannot be similar enough, and no such link is lost.
+
+Words are told by 64-bit hashes, shingles by 64-bit hashes of these, and equal sets by two 64-bit
+sums over their shingles: full sets are compared, as sets of hashes.
 """
 
 from __future__ import annotations
@@ -30,6 +39,7 @@ SIMILARITY = 75  # percent
 SLOTS = 128
 ROWS = 4  # a pair at 0.75 shares none of the 32 bands with probability 5e-6
 CELL = 200
+SKETCH = 1 << 18  # counters, a power of two
 SIGN_BYTES = 1 << 18  # text signed at once: small sets keep a permutation of all slots per shingle
 _SALT = np.uint64(0xA5A5A5A55A5A5A5B)
 
@@ -72,6 +82,48 @@ def _set_maker(size: int):
     return make
 
 
+def _needed(n: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least overlap of a set of n shingles with a larger or equal, and with a smaller or equal, similar set."""
+    return -(-2 * similarity * n // (100 + similarity)), -(-similarity * n // 100)
+
+
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counters of shingles, of those that more than one set of the task holds: the order needs no others."""
+    count = np.zeros(SKETCH, dtype=np.int64)
+    for batch in batches:
+        count += np.bincount(np.asarray(batch.column(0).flatten(), dtype=np.int64) & (SKETCH - 1), minlength=SKETCH)
+    slot = np.flatnonzero(count > 1)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(count[slot])], ["slot", "n"])
+
+
+def _leader(shared, similarity: int):
+    """The shingles that come first in each set, rarest first: ``narrow`` ones must be shared with a larger
+    similar set, all of them with a smaller one."""
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shared.value
+        for batch in batches:
+            ids, sizes, tokens, narrow = batch.column(0), [], [], []
+            for shingles in batch.column(1):
+                own = np.asarray(shingles.values, dtype=np.int64)
+                order = np.lexsort((own, count[own & (SKETCH - 1)]))
+                close, wide = (len(own) - int(x) + 1 for x in _needed(np.int64(len(own)), similarity))
+                tokens.append(own[order[:wide]])
+                narrow.append(np.arange(len(tokens[-1])) < close)
+                sizes.append(len(tokens[-1]))
+            if sizes:
+                owner = ids.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+                yield pa.RecordBatch.from_arrays([owner, pa.array(np.concatenate(tokens)), pa.array(np.concatenate(narrow))], ["id", "token", "narrow"])
+
+    return lead
+
+
+def _contested(lead: DataFrame, by: str) -> DataFrame:
+    """Distinct ids of ``lead`` that share a leading shingle with one of another ``by``."""
+    tokens = lead.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high"), F.max("narrow").alias("narrow")).filter("low < high and narrow").select("token")
+    return lead.join(tokens, "token", "left_semi").select("id").distinct()
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Exact intersection sizes of every left with every right set, in blocks of the shared values."""
     a, b = np.concatenate(left), np.concatenate(right)
@@ -112,6 +164,35 @@ def _cell_links(similarity: int):
     return compare
 
 
+def _hot(cand: DataFrame) -> DataFrame:
+    """Buckets of more members than one cell compares."""
+    return store(cand.groupBy("bucket").count().filter(F.col("count") > CELL).select("bucket"), "hot")
+
+
+def _kept(cand: DataFrame, ids: DataFrame, hot: DataFrame) -> DataFrame:
+    """``cand`` without the members of ``hot`` buckets that are not among ``ids``."""
+    marked = cand.join(small_or_shuffled(hot.withColumn("is_hot", F.lit(True))), "bucket", "left")
+    marked = marked.join(small_or_shuffled(ids.select(F.col("id").alias("rep"), F.lit(True).alias("listed"))), "rep", "left")
+    return marked.filter("is_hot is null or listed").select(cand.columns)
+
+
+def _without_strangers(cand: DataFrame, sets: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame | None]:
+    """(``cand`` without the members of hot buckets that can be linked with no other, the leading shingles
+    of members of hot buckets, or None if no bucket is hot).  Small buckets are compared as they are."""
+    hot = _hot(cand)
+    if hot.isEmpty():
+        return cand, None
+    ids = store(cand.join(small_or_shuffled(hot), "bucket", "left_semi").select(F.col("rep").alias("id")).distinct(), "hot_ids")
+    own = sets.join(small_or_shuffled(ids), "id", "left_semi")
+    # What many of these members hold, in a table of fixed size.
+    held = own.select("shingles").mapInArrow(_repeats, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(SKETCH, dtype=np.int64)
+    count[held["slot"].to_numpy()] = held["n"].to_numpy()
+    shared = cand.sparkSession.sparkContext.broadcast(count)
+    lead = store(own.mapInArrow(_leader(shared, similarity), "id long, token long, narrow boolean"), "lead")
+    return _kept(cand, store(_contested(lead, "id"), "alive"), hot), lead
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -138,8 +219,8 @@ def near_duplicates(
     )
     classes = signed.filter("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     banded = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1 ")
-    cand = store(banded.join(shared.select("bucket", "centre"), "bucket"), "cand")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    cand = store(banded.join(shared.select("bucket"), "bucket", "left_semi"), "cand")
 
     involved = store(cand.select(F.col("rep").alias("id")).distinct(), "involved")
     sets = store(
@@ -148,6 +229,9 @@ def near_duplicates(
         .mapInArrow(_set_maker(shingle), "id long, shingles array<long>"),
         "sets",
     )
+    cand, lead = _without_strangers(cand, sets, similarity)
+    cand = store(cand.join(cand.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1").drop("members"), "bucket"), "left")
+
     pairs = cand.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     one = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     two = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
@@ -161,16 +245,20 @@ def near_duplicates(
 
     root = first.select(F.col("node").alias("rep"), "root")
     centre_root = first.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
+    left = cand
+    if lead is not None:
+        rooted = lead.join(small_or_shuffled(first.select(F.col("node").alias("id"), "root")), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        left = _kept(cand, store(_contested(rooted, "root"), "contested"), _hot(cand))
     placed = store(
-        cand.join(root, "rep", "left")
+        left.join(root, "rep", "left")
         .join(centre_root, "centre", "left")
         .select("bucket", "rep", "centre", F.coalesce("root", "rep").alias("root"), F.coalesce("centre_root", "centre").alias("centre_root"))
         .withColumn("outside", F.col("root") != F.col("centre_root")),
         "placed",
     )
     live = (
-        placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("outside").cast("int")).alias("u"))
-        .filter("n > 2 and u > 0")
+        placed.filter("rep != centre").groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("outside").cast("int")).alias("u"))
+        .filter("n > 1 and u > 0")  # all have been compared with the centre
         .select("bucket", F.ceil(F.col("u") / CELL).cast("int").alias("blocks_a"), F.ceil(F.col("n") / CELL).cast("int").alias("blocks_b"))
     )
     rest = placed.filter("rep != centre").join(live, "bucket").join(sets.withColumnRenamed("id", "rep"), "rep")
@@ -196,11 +284,25 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that are not the smallest id of their group; rows without an
-    id stay."""
-    groups = near_duplicates(docs, id_col, text_col, **options)
-    gone = store(groups.filter(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct(), "gone")
-    return docs.join(small_or_shuffled(gone), id_col, "left_anti")
+    """``docs`` without the documents that are not the smallest id of their group.
+
+    Rows without an id are documents too, told by their text and placed behind all ids: one of equal
+    texts stays, and none that is near a document with an id.  Of rows that repeat id and text one
+    stays (which one is not defined).  Null, empty and blank texts are near nothing.  Columns keep
+    names and order.
+    """
+    text = F.col(text_col).cast("string")
+    key = F.coalesce(F.col(id_col).cast("long"), F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62))
+    named = docs.select(key.alias("id"), text.alias("text"))
+    gone = store(near_duplicates(named, "id", "text", **options).filter(~F.col("kept")).select("id").distinct(), "gone")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("id"))
+    left = rows.join(small_or_shuffled(gone), "id", "left_anti")
+    twice = store(docs.select(key.alias("id")).groupBy("id").count().filter("count > 1").select("id"), "twice")
+    if not twice.isEmpty():
+        hint = small_or_shuffled(twice)
+        again = left.join(hint, "id", "left_semi").withColumns({"a": F.xxhash64(F.col("row")[text_col]), "b": F.crc32(F.col("row")[text_col].cast("string").cast("binary"))})
+        left = left.join(hint, "id", "left_anti").unionByName(again.dropDuplicates(["id", "a", "b"]).select("row", "id"))
+    return left.select("row.*")
 
 
 def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
