@@ -211,7 +211,7 @@ def test_nearest_is_exact_when_all_cells_are_visited(spark):
     vectors += [(400, None), (420, [0.0] * 8), (440, [float("nan")] * 8), (460, [1.0, None] * 4), (480, [1.0] * 3), (500, [float("inf")] * 8)]
     df = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in vectors], "vec_id long, embedding array<float>, cell int, side int, id int")
     got = {}
-    for r in multi_index.nearest(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+    for r in multi_index.nearest(df, F.col("vec_id") % 20 == 0, 20, recall=1.01).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     f32 = [(i, v if v is None else [x if x is None else float(np.float32(x)) for x in v]) for i, v in vectors]
     assert got == exact(f32, 20)
@@ -223,7 +223,7 @@ def test_nearest_recall(spark):
     x = (centre[rng.integers(0, 30, 6000)] + rng.normal(size=(6000, 32))).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     found = {}
-    for r in multi_index.nearest(df, F.col("vec_id") % 20 == 0, 20, probe_share=0.15, probe_least=500).collect():
+    for r in multi_index.nearest(df, F.col("vec_id") % 20 == 0).collect():
         found.setdefault(r.query_id, set()).add(r.vec_id)
     score = x.astype(float) @ x.T.astype(float)
     np.fill_diagonal(score, -np.inf)
@@ -247,6 +247,46 @@ def test_nearest_recall_on_vectors_of_unequal_length(spark, spread):
     assert recall >= 0.9
 
 
+def test_visits_follow_the_data():
+    """Share of the entries visited: little in clusters, more on a sphere, and less of more entries."""
+    rng = np.random.default_rng(5)
+
+    def visited(x):
+        book = multi_index.Codebooks(x[: multi_index.SAMPLE], int(3 * len(x) ** 0.25))
+        share = book.choose_share(x[: multi_index.SAMPLE], 20, multi_index.RECALL)
+        i, j = book.cell(x)
+        sizes = np.zeros(book.shape, dtype=np.int64)
+        np.add.at(sizes, (i, j), 1)
+        first, second = book.shortfalls(x[:40])
+        out, found = [], []
+        for q, a, b in zip(x, first, second):
+            held = book.expected(q, sizes, 20)
+            reach = multi_index.reach_in_order(a, b, held, share * held.sum())
+            seen = np.argsort(np.argsort(b, kind="stable"))[j] < reach[i]
+            out.append(seen.mean())
+            found.append(seen[np.argsort(-(x @ q))[:20]].mean())
+        return np.mean(out), np.mean(found)
+
+    centre = rng.normal(size=(200, 32))
+    clustered = centre[rng.integers(0, 200, 50_000)] + 0.4 * rng.normal(size=(50_000, 32))
+    sphere = rng.normal(size=(50_000, 64))
+    sphere /= np.linalg.norm(sphere, axis=1)[:, None]
+    (few, r1), (small, r2), (large, r3) = visited(clustered), visited(sphere[:4_000]), visited(sphere)
+    assert min(r1, r2, r3) >= 0.9 and few < 0.15 and large < small < 0.85
+
+
+def test_nearest_of_a_third_alike_and_repeated_ids(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(900, 8)).astype(np.float32)
+    rows = [(i, x[i].tolist()) for i in range(900)] + [(5_000 + i, x[3].tolist()) for i in range(450)] + [(7, x[7].tolist())] * 30 + [(None, x[1].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    best = {}
+    for r in multi_index.nearest(df, F.col("vec_id") == 40).collect():
+        best[r.rank] = (r.vec_id, r.score)
+    score = sorted(((-float(np.dot(x[40].astype(float), np.array(v, float))), i) for i, v in rows if i is not None and i != 40))[:20]
+    assert len(best) == 20 and sum(s >= -score[-1][0] - 1e-9 for _, s in best.values()) >= 17 and 40 not in {i for i, _ in best.values()}
+
+
 def test_cells_come_in_order_of_summed_distance():
     rng = np.random.default_rng(6)
     for _ in range(20):
@@ -259,7 +299,7 @@ def test_cells_come_in_order_of_summed_distance():
                 break
             taken.append((i, j))
             held += size[i, j]
-        reach = multi_index.reach_by_distance(a, b, size, wanted)
+        reach = multi_index.reach_in_order(a, b, size, wanted)
         near = np.argsort(b)
         assert {(i, int(near[k])) for i in range(7) for k in range(reach[i])} == set(taken)
 
