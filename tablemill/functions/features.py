@@ -54,8 +54,10 @@ class Vocabulary:
         return cls([(name, category, patterns) for category, table in tables.items() for name, patterns in table.items()])
 
     @classmethod
-    def from_names(cls, tables: dict[str, list[str]]) -> Vocabulary:
-        return cls([(n, c, [rf"\b{re.escape(n)}\b"]) for c, names in tables.items() for n in names])
+    def from_phrases(cls, tables: dict[str, dict[str, list[str]]]) -> Vocabulary:
+        """Phrases stand between word borders; any white space parts their words."""
+        pattern = lambda phrase: r"\b" + r"\s+".join(map(re.escape, phrase.split())) + r"\b"
+        return cls.from_tables({c: {n: [pattern(x) for x in phrases] for n, phrases in names.items()} for c, names in tables.items()})
 
     @classmethod
     def load(cls, path: str, kind: str, spark: SparkSession | None = None) -> Vocabulary:
@@ -128,7 +130,7 @@ def tools() -> Vocabulary:
 
 
 def skills() -> Vocabulary:
-    return Vocabulary.from_names(vocab.SKILLS)
+    return Vocabulary.from_phrases(vocab.skill_phrases())
 
 
 def substring_skills(text: Column, names: list[str]) -> Column:

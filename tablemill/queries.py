@@ -361,15 +361,35 @@ def tool_counts(spark, sf_dir):
     return profile.tag_counts(jobs(spark, sf_dir).select(features.tools().found_string(F.col("job_description")).alias("t")), "t").withColumnRenamed("tag", "tool")
 
 
-_PLAIN = {c: [n for n in names if n.replace(" ", "").isalnum()] for c, names in vocab.SKILLS.items()}
+def s_phrases(text: str, phrases: list[str]) -> str:
+    """Any phrase between word borders; beside a sign a border needs a letter or digit on the other side."""
+    import re
+
+    edge = lambda c, plain: plain if c.isalnum() else r"[\p{L}\p{N}_]"
+    parts = [edge(p[0], _IN) + r"\s+".join(re.escape(w).replace(r"\-", "-").replace(r"\#", "#").replace(r"\/", "/") for w in p.split()) + edge(p[-1], _OUT) for p in phrases]
+    return f"coalesce(regexp_matches({text}, {quote('(?i)' + '|'.join(parts))}), false)"
+
 
+_SKILLS = sorted((n, c, p) for c, names in vocab.skill_phrases().items() for n, p in names.items())
+_SKILL_SQL = s_list([(n, s_phrases(_DESC, p)) for n, _, p in _SKILLS])
 
-@query(over(f"SELECT job_id, array_to_string({s_list([(n, s_match(_DESC, [rf'\b{n}\b'])) for n in sorted(n for names in _PLAIN.values() for n in names)])}, ', ') AS skills FROM jobs"))
+
+@query(over(f"SELECT job_id, array_to_string({_SKILL_SQL}, ', ') AS skills FROM jobs"))
 def skills_extract(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.Vocabulary.from_names(_PLAIN).found_string(F.col("job_description")).alias("skills"))
+    return jobs(spark, sf_dir).select("job_id", features.skills().found_string(F.col("job_description")).alias("skills"))
 
 
-@query()
+@query(over(f"SELECT job_id, array_to_string({s_list([(c, s_phrases(_DESC, [x for p in names.values() for x in p])) for c, names in sorted(vocab.skill_phrases().items())])}, ', ') AS categories FROM jobs"))
+def skill_categories(spark, sf_dir):
+    return jobs(spark, sf_dir).select("job_id", F.array_join(features.skills().found_categories(F.col("job_description")), ", ").alias("categories"))
+
+
+_OF_CATEGORY = {c: f"list_filter(f, lambda x: list_contains([{', '.join(quote(n) for n in names)}], x))" for c, names in sorted(vocab.SKILLS.items())}
+_BY_CATEGORY = "'{' || array_to_string(list_filter([" + ", ".join(f"CASE WHEN len({o}) > 0 THEN {quote(chr(34) + c + chr(34) + ':[' + chr(34))} || array_to_string({o}, {quote(chr(34) + ',' + chr(34))}) || {quote(chr(34) + ']')} END" for c, o in _OF_CATEGORY.items()) + "], lambda x: x IS NOT NULL), ',') || '}'"
+_WITH_CATEGORY = "'[' || array_to_string(list_transform(f, lambda x: '{\"name\":\"' || x || '\",\"category\":\"' || " + "CASE " + " ".join(f"WHEN list_contains([{', '.join(quote(n) for n in names)}], x) THEN {quote(c)}" for c, names in vocab.SKILLS.items()) + " END || '\"}'), ',') || ']'"
+
+
+@query(over(f"SELECT job_id, {_BY_CATEGORY} AS by_category, {_WITH_CATEGORY} AS with_category FROM found", f", found AS (SELECT job_id, {_SKILL_SQL} AS f FROM jobs)"))
 def skills_by_category(spark, sf_dir):
     found = features.skills()
     text = F.col("job_description")

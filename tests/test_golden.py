@@ -155,3 +155,16 @@ def test_profile_of_nothing(spark):
 ])
 def test_needed_literals(pattern, want):
     assert rx.needed_literals(pattern) == want
+
+
+def test_every_skill_is_found_by_each_of_its_phrases(spark):
+    found = features.skills()
+    assert len(found.names()) == 99 and len(found.categories) == 22
+    rows = [(n, c, f"we need {p.replace(' ', '  ')} here") for c, names in vocab.skill_phrases().items() for n, phrases in names.items() for p in phrases if p[0].isalnum() and p[-1].isalnum()]
+    rows += [("C#", "Programming Languages", "C#x"), (".NET", "Backend Development", "asp.net core")]
+    df = spark.createDataFrame(rows, "name string, category string, t string")
+    t = F.col("t")
+    got = df.select("name", "category", "t", found.found(t).alias("n"), found.found_categories(t).alias("c"))
+    assert got.filter(~F.array_contains("n", F.col("name")) | ~F.array_contains("c", F.col("category"))).count() == 0
+    none = spark.createDataFrame([("we go there, see .net and C# or C",)], "t string")
+    assert none.select(found.found(t)).first()[0] == []
