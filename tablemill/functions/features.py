@@ -178,12 +178,13 @@ def function_word_language(text: Column) -> Column:
     return rx.let(F.struct(F.split(low, r"(?U)\W+").alias("words"), (F.char_length(low) < 20).alias("short")), decide)
 
 
-def detect_language(df: DataFrame, text_col: str, language_col: str | None = "language", detector: Callable[[str], str] | None = None, into: str = "detected_language") -> DataFrame:
+def detect_language(df: DataFrame, text_col: str, language_col: str | None = "language", detector: Callable[[str], str] | None = None, into: str = "detected_language", source: DataFrame | None = None) -> DataFrame:
     """A language column that holds any value is used as it is (blank: NA); else the text decides.
 
+    Whether it holds any is asked of ``source``, a frame that is cheap to read, if one is given.
     ``detector`` maps a text to a code and runs in Arrow batches; without one the built-in is used.
     """
-    if language_col in df.columns and not df.filter(F.col(language_col).isNotNull()).isEmpty():
+    if language_col in df.columns and not (df if source is None else source).filter(F.col(language_col).isNotNull()).isEmpty():
         return df.withColumn(into, F.when(rx.blank(F.col(language_col)), vocab.NA).otherwise(F.col(language_col)))
     if detector is None:
         return df.withColumn(into, function_word_language(F.col(text_col)))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tablemill.functions import rx, vocab
 
-_BLOCKS = r"<(br|p|div|h[1-6]|li|tr)[^>]*/?>"
+#: Fixed value: tags that end a line.
+BLOCKS = r"<(br|p|div|h[1-6]|li|tr)[^>]*/?>"
 #: Fixed values: (pattern, replacement, flags) in order.
 MARKDOWN = [
     (r"^#{1,6}\s*", "", "m"),
@@ -26,19 +27,21 @@ MARKDOWN = [
 
 
 def unescape(text: Column) -> Column:
-    """Named and numeric entities; the library function, in Arrow batches."""
+    """Named and numeric entities; the library function, in Arrow batches, of texts with an ampersand.
+    Other texts stay where they are and travel as nulls."""
 
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(html.unescape, na_action="ignore")
 
-    return F.pandas_udf(run, "string")(text)
+    some = F.contains(text, F.lit("&"))
+    return F.when(some, F.pandas_udf(run, "string")(F.when(some, text))).otherwise(text)
 
 
 def strip_tags(text: Column) -> Column:
     """Scripts and styles go with their content, block tags become newlines, other tags go."""
     for name in ("script", "style"):
         text = F.regexp_replace(text, rx.java(rf"<{name}[^>]*>.*?</{name}>", "is"), "")
-    text = F.regexp_replace(text, rx.java(_BLOCKS), "\n")
+    text = F.regexp_replace(text, rx.java(BLOCKS), "\n")
     return F.regexp_replace(text, rx.java(r"<[^>]+>", ""), "")
 
 

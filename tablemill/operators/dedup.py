@@ -69,12 +69,23 @@ def drop_newest_duplicates(df: DataFrame, keys: list[str], id_col: str = "id", n
     return df.join(newest_duplicates(df, keys, id_col, newest), id_col, "left_anti")
 
 
+def last_of(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last row of each key by ``order``, then by all columns; an aggregate that combines before the shuffle."""
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    return df.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, F.struct(F.struct(*order), row)).alias("_row")).select("_row.*")
+
+
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """``stored`` with rows of ``incoming`` replacing those of the same key; of several incoming rows
-    the last by ``order`` stays.  Columns that one side lacks are null."""
-    if order:
-        last = F.max_by(F.struct(*incoming.columns), F.struct(*order))
-        incoming = incoming.groupBy(key).agg(last.alias("_row")).select("_row.*")
-    else:
-        incoming = incoming.dropDuplicates([key])
-    return stored.join(incoming.select(key), key, "left_anti").unionByName(incoming, allowMissingColumns=True)
+    """``stored`` with rows of ``incoming`` replacing those of the same key.
+
+    With ``order`` the last row of each key stays, wherever it is: an older one that comes late replaces
+    nothing; of rows that are level by it the incoming one stays.  Without, incoming rows replace
+    stored ones, and of several the greatest by all columns stays.  Rows without key are added, one
+    of them from each batch.  Columns that one side lacks are null.
+    """
+    incoming = last_of(incoming, key, order or [c for c in incoming.columns if c != key])
+    if order and set(order) <= set(stored.columns):
+        have = stored.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct(*order)).alias("_have"))
+        both = incoming.withColumn("_new", F.struct(*order)).join(have, F.col(key) == F.col("_key"), "left")
+        incoming = both.filter(F.col("_have").isNull() | (F.col("_new") >= F.col("_have"))).drop("_key", "_have", "_new")
+    return stored.join(incoming.select(key), key, "left_anti").select(stored.columns).unionByName(incoming, allowMissingColumns=True)

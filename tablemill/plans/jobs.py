@@ -14,6 +14,30 @@ from tablemill.sources import store
 PERSISTED_NA = ["detected_language", "education_level", "education_field", "job_level"]
 
 
+def collect(raw: DataFrame, now: Column | None = None, hours: int | None = None, platforms: list[str] | None = None, countries: list[str] | None = None) -> DataFrame:
+    """Raw rows in their common form: wanted sources, ids, locations, flags and dates; recent ones if
+    ``hours`` is given; of each id the last scanned row.
+
+    A date that can't be read is missing (``preprocess`` assigns one).  An id that is missing is made
+    from platform, country, source id and URL.  Columns whose name begins with an underscore go.
+    """
+    rows = store.without_internal(store.select_sources(raw, platforms, countries))
+    have = set(rows.columns)
+    text = lambda c: F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+    made = filters.surrogate_id(F.coalesce(text("platform"), F.lit("")), F.coalesce(text("country"), F.lit("")), text("source_id"), text("url"))
+    rows = rows.withColumn("job_id", F.coalesce(F.nullif(F.trim(text("job_id")), F.lit("")), made))
+    if {"city", "state"} & have:
+        place = filters.flat_location(text("city"), text("state"), text("country"))
+        rows = rows.withColumn("location", F.coalesce(F.nullif(text("location"), F.lit("")), place))
+    if "is_remote" in have:
+        rows = rows.withColumn("is_remote", filters.flag(F.col("is_remote")))
+    posted = filters.parse_posted(text("posted_date"))
+    rows = rows.withColumn("posted_date", F.date_format(posted, "yyyy-MM-dd'T'HH:mm:ss"))
+    if hours is not None:
+        rows = rows.filter(filters.recent(F.try_to_timestamp("posted_date"), now if now is not None else F.current_timestamp(), hours))
+    return dedup.last_of(rows, "job_id", ["scraped_at"])
+
+
 def accept(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Rows that pass the two-tier filter, first of each URL, with the keywords that let them in."""
     detail = filters.two_tier_detail(F.col("actual_role"), F.col("job_description"))
@@ -33,7 +57,7 @@ def preprocess(raw: DataFrame, detector: Callable[[str], str] | None = None) ->
     rows = filters.assign_dates(raw, "posted_date", F.col("scraped_at"))
     rows = dedup.flag_shared_urls(rows)
     rows = rows.withColumn("job_description_clean", normalize.normalize_text(F.col("job_description")))
-    rows = features.detect_language(rows, "job_description_clean", "language", detector)
+    rows = features.detect_language(rows, "job_description_clean", "language", detector, source=raw)
     text = F.col("job_description")
     rows = rows.withColumns(
         {
@@ -68,9 +92,10 @@ def enrich(processed: DataFrame, skills: features.Vocabulary | None = None, tool
 
 def publish(enriched: DataFrame, jobs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(jobs, details): the exported projection merged into ``jobs`` by id, and id with description."""
+    enriched = dedup.last_of(enriched, "job_id", ["scraped_at"] if "scraped_at" in enriched.columns else ["job_id"])
     rows = filters.export_projection(enriched)
-    details = enriched.select("job_id", F.coalesce("job_description", F.lit("")).alias("job_description")).dropDuplicates(["job_id"])
-    return (dedup.upsert(jobs, rows, "job_id") if jobs is not None else rows.dropDuplicates(["job_id"])), details
+    details = enriched.select("job_id", F.coalesce("job_description", F.lit("")).alias("job_description"))
+    return (dedup.upsert(jobs, rows, "job_id") if jobs is not None else rows), details
 
 
 def backfill_chunks(details: DataFrame, chunks: DataFrame | None = None, only: DataFrame | None = None, model=None) -> DataFrame:
@@ -83,10 +108,27 @@ def backfill_chunks(details: DataFrame, chunks: DataFrame | None = None, only: D
     return chunk.explode_chunks(rows, "job_id", "job_description").withColumn("embedding", chunk.embed(F.col("chunk_text"), model))
 
 
-def run(spark: SparkSession, raw: DataFrame, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None) -> dict:
+def backfill_counts(details: DataFrame, chunks: DataFrame | None) -> dict[str, int]:
+    """Details to do, already done, and empty, in one pass."""
+    empty = F.trim(F.coalesce("job_description", F.lit(""))) == ""
+    done = details.select("job_id", empty.alias("empty"))
+    if chunks is None:
+        done = done.withColumn("done", F.lit(False))
+    else:
+        done = done.join(chunks.select("job_id").distinct().withColumn("_d", F.lit(True)), "job_id", "left").withColumn("done", F.col("_d").isNotNull())
+    counts = done.agg(F.count_if(~F.col("empty") & ~F.col("done")).alias("processed"), F.count_if(F.col("done")).alias("skipped"), F.count_if(F.col("empty") & ~F.col("done")).alias("empty")).first()
+    return counts.asDict()
+
+
+def run(
+    spark: SparkSession, raw: DataFrame, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None, hours: int | None = None,
+    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | None = None,
+) -> dict:
     """All stages, each a snapshot; any failure before publishing leaves the last run in place.
 
-    Chunks and embeddings come last and may fail without failing the run.
+    ``hours``, ``platforms`` and ``countries`` narrow what is taken in.  Chunks and embeddings come last
+    and may fail without failing the run, or be left out.  The manifest holds rows and seconds of each
+    table and how many details were embedded, had been before, were empty, or failed.
     """
     run = run or store.run_id()
     shots, tables = store.Snapshots(spark, root), []
@@ -95,8 +137,8 @@ def run(spark: SparkSession, raw: DataFrame, root: str, run: str | None = None,
         tables.append(shots.write(run, name, df))
         return shots.read(name, run)
 
-    accepted = stage("jobs_raw", accept(raw))
-    processed = stage("jobs_processed", preprocess(accepted))
+    accepted = stage("jobs_raw", accept(collect(raw, now, hours, platforms, countries)))
+    processed = stage("jobs_processed", preprocess(accepted, detector))
     enriched = stage("jobs_enriched", enrich(processed))
     if dry_run:
         return {"run_id": run, "tables": tables, "published": False}
@@ -105,9 +147,16 @@ def run(spark: SparkSession, raw: DataFrame, root: str, run: str | None = None,
     jobs, details = publish(enriched, shots.read("jobs", before["run_id"]) if "jobs" in known else None)
     stage("jobs", jobs)
     details = stage("job_details", details)
-    error = None
-    try:
-        stage("job_chunks", backfill_chunks(details, shots.read("job_chunks", before["run_id"]) if "job_chunks" in known else None, model=model))
-    except Exception as e:  # the run is complete without embeddings
-        error = str(e)[:500]
-    return shots.publish(run, tables, embedding_error=error, published=True)
+    error, counts = None, None
+    if embeddings:
+        have = shots.read("job_chunks", before["run_id"]) if "job_chunks" in known else None
+        counts = backfill_counts(details, have) | {"failed": 0}
+        try:
+            fresh = backfill_chunks(details, have, model=model)
+            stage("job_chunks", fresh if have is None else have.unionByName(fresh))
+        except Exception as e:  # the run is complete without embeddings
+            error = str(e)[:500]
+            counts |= {"failed": counts["processed"], "processed": 0}
+    elif "job_chunks" in known:
+        stage("job_chunks", shots.read("job_chunks", before["run_id"]))
+    return shots.publish(run, tables, embedding_error=error, backfill=counts, published=True)

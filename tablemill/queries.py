@@ -640,4 +640,4 @@ def stream_first_seen(spark, sf_dir):
 def stream_merge(spark, sf_dir):
     out = store.scratch_dir(spark, "merge")
     ingest.merge_into(_event_stream(spark, sf_dir).select("user_id", "event_id", "ts"), f"{out}/t", "user_id", ["ts", "event_id"], f"{out}/state").awaitTermination()
-    return spark.read.parquet(f"{out}/t/version=0").select("user_id", "event_id")
+    return ingest.current(spark, f"{out}/t").select("user_id", "event_id")

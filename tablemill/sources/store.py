@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+import time
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablemill.operators.retention import Target, survivors
@@ -42,15 +44,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def put_json(spark: SparkSession, path: str, data: dict) -> None:
-    """Write a small JSON document; readers see the old or the new one."""
+def children(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names in a folder that begin with ``prefix``; none if there is no such folder."""
+    p, fs = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n.startswith(prefix))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text; readers see the old or the new one, the replacement being one rename."""
     p, fs = _fs(spark, path)
-    tmp = p.suffix(".tmp")
+    jvm = spark._jvm
+    tmp = p.suffix(f".{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps(data, indent=2, default=str).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsparkSession.sessionState().newHadoopConf()) if p.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsparkSession.sessionState().newHadoopConf())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context.rename(tmp, p, how)
+
+
+def put_json(spark: SparkSession, path: str, data: dict) -> None:
+    put_text(spark, path, json.dumps(data, indent=2, default=str))
 
 
 def get_json(spark: SparkSession, path: str, default: dict | None = None) -> dict | None:
@@ -73,11 +95,19 @@ class Snapshots:
     def write(self, run: str, table: str, df: DataFrame) -> dict:
         """Write, read back and compare count and schema before the table counts as written."""
         path = f"{self.root}/run_id={run}/{table}"
-        df.write.mode("overwrite").parquet(path)
+        began, told = time.time(), Observation(f"{table}-{uuid.uuid4().hex}")
+        df.observe(told, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         back = self.spark.read.parquet(path)
+        rows, found = told.get["rows"], back.count()
         if [f.name for f in back.schema] != df.columns:
             raise RuntimeError(f"{path}: columns differ after writing")
-        return {"table": table, "path": path, "rows": back.count(), "columns": back.columns}
+        if found != rows:
+            raise RuntimeError(f"{path}: {rows} rows written, {found} found")
+        return {"table": table, "path": path, "rows": found, "columns": back.columns, "seconds": round(time.time() - began, 3)}
+
+    def truncate(self, run: str, table: str) -> dict:
+        """A version of ``table`` without rows, of the same columns."""
+        return self.write(run, table, self.read(table).limit(0))
 
     def publish(self, run: str, tables: list[dict], **extra) -> dict:
         """The run's manifest, then the pointer: readers of the pointer never see a run half written."""
@@ -103,9 +133,10 @@ def archive(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", "false").json(path)
 
 
-def clean_up(spark: SparkSession, tables: dict[str, DataFrame], found: list[Target], path: str, run: str, days: int, mode: str = "DRY_RUN", confirm: str = "", id_col: str = "id") -> dict:
+def clean_up(spark: SparkSession, tables: dict[str, DataFrame], found: list[Target], path: str, run: str, days: int, mode: str = "DRY_RUN", confirm: str = "", id_col: str = "id", shots: Snapshots | None = None) -> dict:
     """Plan, archive and apply retention: DRY_RUN counts, ARCHIVE_ONLY also archives, APPLY also
-    writes each table's survivors under ``path``/survivors.
+    writes each table's survivors under ``path``/survivors and, given ``shots``, publishes them there as
+    a run of the same tables: they are current from then on, tables without targets as they were.
 
     APPLY needs the confirmation text, and every archive must hold as many rows as were counted.
     """
@@ -126,6 +157,11 @@ def clean_up(spark: SparkSession, tables: dict[str, DataFrame], found: list[Targ
         for name in {t.table for t in found}:
             left = survivors(tables[name], [t.rows for t in found if t.table == name], id_col)
             left.write.mode("overwrite").parquet(f"{path}/{run}/survivors/{name}")
+        if shots is not None:
+            kept = {name: spark.read.parquet(f"{path}/{run}/survivors/{name}") for name in {t.table for t in found}}
+            rest = {t["table"] for t in (shots.latest() or {"tables": []})["tables"]} - set(kept)
+            written = [shots.write(run, name, rows) for name, rows in sorted(kept.items())] + [shots.write(run, name, shots.read(name)) for name in sorted(rest)]
+            shots.publish(run, written, cleaned=True)
     if mode != "DRY_RUN":
         put_json(spark, f"{path}/{run}/manifest.json", manifest)
     return manifest
@@ -177,13 +213,47 @@ def union_scans(scans: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+class RateLimited(Exception):
+    """A source that asks for no more requests."""
+
+
+def scan_terms(terms: list[str], fetch: Callable[[str, int], DataFrame], target: int) -> tuple[DataFrame | None, list[str]]:
+    """(rows of all terms scanned, terms left): terms are fetched one after the other, each for its share
+    of ``target``, until the source is ``RateLimited``; what came before stays.  Other errors lose their term only."""
+    scans: dict[str, DataFrame] = {}
+    for k, term in enumerate(terms):
+        try:
+            scans[term] = fetch(term, per_term_quota(target, len(terms)))
+        except RateLimited:
+            return (union_scans(scans) if scans else None), terms[k:]
+        except Exception:  # noqa: S112 (the next term may do)
+            continue
+    return (union_scans(scans) if scans else None), []
+
+
+def select_sources(df: DataFrame, platforms: list[str] | None = None, countries: list[str] | None = None) -> DataFrame:
+    """Rows of the wanted platforms and countries, whatever their case; None wants all."""
+    for column, wanted in (("platform", platforms), ("country", countries)):
+        if wanted is not None:
+            df = df.filter(F.lower(F.trim(column)).isin([w.strip().lower() for w in wanted]))
+    return df
+
+
+def without_internal(df: DataFrame) -> DataFrame:
+    """Without the columns whose name begins with an underscore."""
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if not c.startswith("_")))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, or under a temporary one where that is unset (local runs)."""
+    """A new folder under spark.checkpoint.dir, or under a temporary one where that is unset and driver and
+    executors are one process."""
     import tempfile
-    import uuid
 
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not shared:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="tablemill-")
         spark.sparkContext.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/tablemill/{name}-{uuid.uuid4().hex}"
