@@ -26,24 +26,33 @@ FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
 
 
-def op3_sql(notices: list[tuple[str, list[str]]], dice: float) -> str:
-    """The licence scan; ``notices`` are names with their bigrams, in order."""
+def op3_sql(templates: list[tuple[str, list[str]]], marks: list[str], dice: float, slack) -> str:
+    """The licence scan; ``templates`` are names with their bigrams."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    values = ", ".join(f"({k}, {quote(name)}, [{', '.join(map(quote, grams))}])" for k, (name, grams) in enumerate(notices))
+    values = ", ".join(f"({k}, {quote(name)}, {len(grams)}, {slack(len(grams)) + 1}, [{', '.join(map(quote, grams))}])" for k, (name, grams) in enumerate(templates))
+    some = " OR ".join(f"contains(t, {quote(m)})" for m in marks)
     return rf"""
-WITH notice(k, license, own) AS (VALUES {values}), line AS (
-  SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+WITH template(k, license, m, room, own) AS (VALUES {values}), own AS (SELECT k, license, m, room, unnest(own) AS g FROM template
+), low AS (SELECT doc_id, translate(coalesce(text, ''), {_AZ}) AS t FROM documents
 ), word AS (
-  SELECT doc_id, line, list_filter(string_split_regex(translate(t, {_AZ}), '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda w: w <> '') AS w FROM line
+  SELECT doc_id, list_filter(string_split_regex(t, '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda w: w <> '') AS w FROM low WHERE {some}
 ), gram AS (
-  SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM word WHERE len(w) > 1
-), pair AS (
-  SELECT doc_id, line, k, license, 2.0::DOUBLE * len(list_intersect(g, own)) / (len(g) + len(own)) AS dice FROM gram, notice
-), best AS (
-  SELECT doc_id, line, arg_min(license, k) AS license, any_value(dice) AS dice
-  FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id, line) AS top FROM pair WHERE dice >= {dice}) WHERE dice = top GROUP BY doc_id, line
+  SELECT doc_id, unnest(range(len(w) - 1)) AS pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM word WHERE len(w) > 1
+), place AS (
+  SELECT doc_id, k, license, m, pos, sum(fresh) OVER (PARTITION BY doc_id, k ORDER BY pos) AS string
+  FROM (SELECT doc_id, k, license, m, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id, k ORDER BY pos) <= room THEN 0 ELSE 1 END AS fresh FROM gram JOIN own USING (g))
+), stretch AS (
+  SELECT doc_id, k, license, m, string, min(pos) AS first, max(pos) AS last FROM place GROUP BY ALL HAVING count(*) * 3 >= 2 * m
+), sized AS (
+  SELECT s.doc_id, s.k, s.license, s.m, s.first, s.last, count(DISTINCT g.g) AS n, count(DISTINCT CASE WHEN o.g IS NOT NULL THEN g.g END) AS shared
+  FROM stretch s JOIN gram g ON g.doc_id = s.doc_id AND g.pos BETWEEN s.first AND s.last LEFT JOIN own o ON o.k = s.k AND o.g = g.g GROUP BY ALL
+), near AS (
+  SELECT doc_id, license, first, last, 2.0::DOUBLE * shared / (n + m) AS dice FROM sized WHERE 2.0::DOUBLE * shared / (n + m) >= {dice}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, first ORDER BY dice DESC, license) = 1
+), hit AS (
+  SELECT * FROM near QUALIFY last > coalesce(max(last) OVER (PARTITION BY doc_id ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
 )
-SELECT d.doc_id, count(b.line) AS n_matches, coalesce(string_agg(DISTINCT b.license, ',' ORDER BY b.license), '') AS licenses,
-  coalesce(string_agg(b.line::VARCHAR, ',' ORDER BY b.line), '') AS lines, coalesce(max(b.dice), 0.0::DOUBLE) AS best_dice
-FROM documents d LEFT JOIN best b USING (doc_id) GROUP BY d.doc_id
+SELECT d.doc_id, count(h.first) AS n_matches, coalesce(string_agg(DISTINCT h.license, ',' ORDER BY h.license), '') AS licenses,
+  coalesce(array_to_string(list_sort(list_distinct(list(h.first) FILTER (WHERE h.first IS NOT NULL))), ','), '') AS places, coalesce(max(h.dice), 0.0::DOUBLE) AS best_dice
+FROM documents d LEFT JOIN hit h USING (doc_id) GROUP BY d.doc_id
 """

@@ -20,13 +20,13 @@ and hardly more with the number of its matches: sums and maxima along them are t
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemill.functions.rx import let
+from tablemill.llm.arrays import running
 from tablemill.llm.scratch import small_or_shuffled, store
 
 KINDS = ("email", "ip", "card", "phone")
@@ -91,25 +91,6 @@ _VALID = {
 }
 
 
-def _running(values: Column, zero: Column, combine: Callable[[Column, Column], Column], kind: str = "int") -> Column:
-    """Before each element, what ``combine`` (associative, ``zero`` neutral) makes of all earlier ones.
-
-    An array that grows by one element is copied each time; so the values are scanned in blocks of about
-    the root of their number, and then the blocks."""
-
-    def scan(items: Column) -> Column:
-        begin = F.struct(zero.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-        return F.aggregate(items, begin, lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
-
-    def blocked(v: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(v))).cast("int")
-        blocks = F.transform(F.sequence(F.lit(0), F.size(v) - 1, width), lambda b: scan(F.slice(v, b + 1, width)))
-        before = lambda bs: scan(F.transform(bs, lambda b: b["at"]))["out"]
-        return let(blocks, lambda bs: F.flatten(F.zip_with(bs, before(bs), lambda b, at: F.transform(b["out"], lambda x: combine(at, x)))))
-
-    return let(values, lambda v: F.when(F.size(v) > 0, blocked(v)).otherwise(F.array().cast(f"array<{kind}>")))
-
-
 def _sum(a: Column, b: Column) -> Column:
     return a + b
 
@@ -126,7 +107,7 @@ def _scan(text: Column, rx: str, guard: Column) -> Column:
         sizes = F.transform(r["found"], F.char_length)
 
         def spots(g: Column) -> Column:
-            at = _running(F.zip_with(g["gap"], g["size"], _sum), F.lit(0), _sum)
+            at = running(F.zip_with(g["gap"], g["size"], _sum), F.lit(0), _sum)
             begin = let(at, lambda x: F.zip_with(x, g["gap"], _sum))
             return let(begin, lambda x: F.transform(r["found"], lambda m, i: F.struct(
                 i.alias("i"), F.element_at(x, i + 1).alias("s"), (F.element_at(x, i + 1) + F.element_at(g["size"], i + 1)).alias("e"), m.alias("value"))))
@@ -216,8 +197,8 @@ def _candidates(scan: Column, base: Column) -> Column:
 
     def free(v: Column) -> Column:
         far = F.lit((1 << 31) - 1)
-        till = _running(F.transform(v, lambda x: F.when(x["b"] == 0, x["e"]).otherwise(0)), F.lit(0), F.greatest)
-        begin = F.reverse(_running(F.reverse(F.transform(v, lambda x: F.when(x["b"] == 0, x["s"]).otherwise(far))), far, F.least))
+        till = running(F.transform(v, lambda x: F.when(x["b"] == 0, x["e"]).otherwise(0)), F.lit(0), F.greatest)
+        begin = F.reverse(running(F.reverse(F.transform(v, lambda x: F.when(x["b"] == 0, x["s"]).otherwise(far))), far, F.least))
         room = F.struct(till.alias("till"), begin.alias("begin"))
         return let(room, lambda r: F.filter(v, lambda x, k: (x["b"] == 1) & (F.element_at(r["till"], k + 1) <= x["s"]) & (F.element_at(r["begin"], k + 1) >= x["e"])))
 
@@ -286,7 +267,7 @@ def _outermost(spans: Column) -> Column:
     ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["o"].alias("o"))))
 
     def kept(v: Column) -> Column:
-        till = _running(F.transform(v, lambda x: -x["e"]), F.lit(0), F.greatest)
+        till = running(F.transform(v, lambda x: -x["e"]), F.lit(0), F.greatest)
         return let(till, lambda t: F.filter(v, lambda x, k: -x["e"] > F.element_at(t, k + 1)))
 
     return F.transform(let(ordered, kept), lambda x: F.struct(x["o"].alias("o"), x["s"].alias("s"), (-x["e"]).alias("e")))
@@ -333,7 +314,7 @@ def _masked(text: Column, spans: Column) -> Column:
             rest = F.substring(r["text"], F.greatest(last["at"], last["e"]) + 1, F.char_length(r["text"]))
             return F.concat(F.array_join(blocks, ""), rest)
 
-        at = _running(F.transform(r["spans"], lambda x: x["e"]), F.lit(0), F.greatest)
+        at = running(F.transform(r["spans"], lambda x: x["e"]), F.lit(0), F.greatest)
         placed = F.zip_with(r["spans"], at, lambda x, a: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["o"].alias("o"), a.alias("at")))
         return let(placed, joined)
 

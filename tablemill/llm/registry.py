@@ -33,5 +33,5 @@ QUERIES: dict[str, Callable] = {
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
-    "op3_license_scan": op3_sql([(name, licenses.bigrams(text)) for name, text in licenses.NOTICES], licenses.DICE),
+    "op3_license_scan": op3_sql(licenses.known_templates(), licenses.MARKS, licenses.DICE, licenses.slack),
 }
