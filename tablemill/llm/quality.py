@@ -219,7 +219,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     short_batches(docs.sparkSession)
     known = labels.select(F.col(id_col), (F.col(label_col) == 1).cast("int").alias("label")).filter(F.col(id_col).isNotNull() & F.col("label").isNotNull())
     sample = bounded_sample(known, "label", F.xxhash64(id_col), per_label, 2)
-    texts = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), id_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample.select(F.col(id_col).alias("id"), "label")), "id")
+    # One text for each sampled label, however often its id is repeated.
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = texts.select("label", "text").mapInArrow(_featurize, "label int, x array<double>").toPandas()
     if not len(rows):
         return None

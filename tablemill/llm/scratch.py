@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -42,6 +43,18 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def ship(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver's to every executor; ``shipped`` opens it there by the name returned."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped(name: str) -> str:
+    from pyspark import SparkFiles
+
+    return SparkFiles.get(name)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, and a
     lost executor costs a re-read instead of the work before it."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemill.llm import textbuf
-from tablemill.llm.scratch import short_batches
+from tablemill.llm.scratch import ship, shipped, short_batches
 
 TABLE = 150_000
 MARK = "▁"
@@ -83,18 +83,18 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.concat_arrays(pieces), np.concatenate([[0], np.cumsum(count)])
 
 
-def _encoder(model_path: str):
+def _encoder(model: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        table = _Table(model) if _separable(model) else None
+        processor = sentencepiece.SentencePieceProcessor(model_file=shipped(model))
+        table = _Table(processor) if _separable(processor) else None
         for batch in batches:
             for run in textbuf.runs(batch, "text"):
                 texts = pc.fill_null(run.column(1).cast(pa.large_string()), "")
                 if table is None:
-                    ids = model.encode(texts.to_pylist(), num_threads=1)
-                    decoded = model.decode(ids, num_threads=1)
+                    ids = processor.encode(texts.to_pylist(), num_threads=1)
+                    decoded = processor.decode(ids, num_threads=1)
                     yield pa.RecordBatch.from_arrays([run.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
                     continue
                 chunks, begin = _split(pc.replace_substring(texts, MARK, " "))
@@ -122,12 +122,12 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     ids are those of the library's encode() without begin and end ids or sampling, decoded is its
     decode(ids).  A null or empty text has no ids and decodes to ''.  Whole texts are encoded,
     whatever their length; a row's id may be null or repeated; other columns are ignored.
-    ``model_path`` must be readable on every executor.
+    ``model_path`` is a file of the driver's, which is sent to the executors.
     """
     short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _encoder(model_path), f"id {kind}, ids array<int>, decoded string"
+        _encoder(ship(docs.sparkSession, model_path)), f"id {kind}, ids array<int>, decoded string"
     )
     return out.withColumnRenamed("id", id_col)
 

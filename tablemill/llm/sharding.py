@@ -4,17 +4,26 @@ Every record hashes into one of ``SLOTS`` virtual slots.  Bytes and rows are agg
 (before the shuffle), and a slot map says which shard owns each slot.  The map is a table of fixed
 size with a version: it is built by giving the largest slot to the lightest shard, and rebalancing
 edits single entries under the next version instead of hashing anything anew.
+
+A record's slot is a hash of its id, so an edited text stays where it is; records without id go by
+their text.  Records that repeat an id share a slot, unless that slot outweighs its share of a shard
+(one id on a third of all rows): then its records are spread by their place in a stored table.
+Equal texts under different ids are not kept together: a group of them may be larger than a shard,
+and the law ``bytes`` comes first.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tablemill.llm.scratch import shared_dir, store
+
 SLOTS = 8192
 SHARDS = 24
 
@@ -83,11 +92,28 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
     return SlotMap(version, rows[0]["shards"], tuple(r["shard"] for r in rows))
 
 
+def _slot(id_col: str, crc: Column, slots: int) -> Column:
+    own = F.coalesce(F.xxhash64(F.when(F.col(id_col).isNotNull(), F.col(id_col))), F.lit(0))
+    return F.pmod(F.when(F.col(id_col).isNull(), F.xxhash64(crc)).otherwise(own), F.lit(slots)).cast("int")
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """id, size (UTF-8 bytes plus 8), text_crc32, virtual_slot of each row."""
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col), (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-    return rows.withColumn("virtual_slot", F.pmod(F.xxhash64(id_col, "text_crc32"), F.lit(slots)).cast("int"))
+    return rows.withColumn("virtual_slot", _slot(id_col, F.col("text_crc32"), slots))
+
+
+def spread(rows: DataFrame, weight: dict[int, int], counts: dict[int, int], shards: int, slots: int) -> DataFrame | None:
+    """``rows`` with the records of slots that outweigh an eighth of a shard (and four even slots) dealt over all slots; None if
+    no slot of several records does."""
+    most = max(1 / (8 * shards), 4 / slots)
+    hot = [s for s, w in weight.items() if w > most * sum(weight.values()) and counts[s] > max(1, most * sum(counts.values()))]
+    if not hot:
+        return None
+    fixed = store(rows.withColumn("place", F.monotonically_increasing_id()), "sized")
+    dealt = F.pmod(F.xxhash64("place"), F.lit(slots)).cast("int")
+    return fixed.withColumn("virtual_slot", F.when(F.col("virtual_slot").isin(hot), dealt).otherwise(F.col("virtual_slot"))).drop("place")
 
 
 def slot_weights(rows: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
@@ -117,29 +143,38 @@ def assign(rows: DataFrame, slot_map: SlotMap, counts: dict[int, int], id_col: s
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, SlotMap]:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", map_path: str | None = None) -> tuple[DataFrame, SlotMap]:
     """(rows with size, text_crc32, virtual_slot, shard, slot; the map they follow).
 
     Law: the shards' bytes are near equal.  A null text has no bytes and the checksum of an empty
-    one; rows that repeat an id and text share a virtual slot; rows without id are placed by their
-    text.  No rows give no rows.  Other columns are ignored.
+    one; rows that repeat an id share a virtual slot unless it is spread; rows without id are placed
+    by their text.  No rows give no rows.  Other columns are ignored.  With ``map_path`` the map is
+    stored there and rows follow the version read back.
     """
     rows = sized(docs, id_col, text_col, slots)
     weight, counts = slot_weights(rows)
+    dealt = spread(rows, weight, counts, shards, slots)
+    if dealt is not None:
+        rows = dealt
+        weight, counts = slot_weights(rows)
     slot_map = build_map(weight, shards, slots)
+    if map_path:
+        store_map(docs.sparkSession, slot_map, map_path)
+        slot_map = load_map(docs.sparkSession, map_path, slot_map.version)
     return assign(rows, slot_map, counts, id_col), slot_map
 
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write whole documents to ``path``, one folder for each shard."""
+    """Write whole documents to ``path``, one folder for each shard of a map; no slot is spread here."""
     key = "virtual_slot"
     slots = len(slot_map.owner)
     crc = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
     table = docs.sparkSession.createDataFrame(list(enumerate(slot_map.owner)), f"{key} int, shard int")
-    rows = docs.withColumn(key, F.pmod(F.xxhash64(F.col(id_col), crc), F.lit(slots)).cast("int"))
+    rows = docs.withColumn(key, _slot(id_col, crc, slots))
     rows.join(F.broadcast(table), key).drop(key).write.partitionBy("shard").parquet(path)
 
 
 def op7_virtual_slot_sharding(spark, sf_dir: str) -> DataFrame:
-    rows, _ = shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    path = f"{shared_dir(spark)}/tablemill/slot-map-{uuid.uuid4().hex}"
+    rows, _ = shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), map_path=path)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")

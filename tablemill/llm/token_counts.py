@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablemill.llm import textbuf
-from tablemill.llm.scratch import short_batches, store
+from tablemill.llm.scratch import ship, shipped, short_batches, store
 
 #: Lengths are summed in blocks of this many, then over the blocks, so that no task sums all of them.
 BLOCK = 128
@@ -31,9 +31,9 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("from-file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def _counter(path: str, pattern: str):
+def _counter(name: str, pattern: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(path, pattern)
+        encoding = _encoding(shipped(name), pattern)
         for batch in batches:
             for run in textbuf.runs(batch, "text"):
                 texts = pc.fill_null(run.column(1), "").to_pylist()
@@ -45,11 +45,12 @@ def _counter(path: str, pattern: str):
 
 def token_lengths(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens of each row; null and empty texts have 0.  ``vocabulary`` (ranks of a byte-level
-    BPE) must be readable on every executor.  Other columns are ignored."""
+    BPE) is a file of the driver's, which is sent to the executors.  Rows that repeat an id, or have
+    none, count one by one.  Other columns are ignored."""
     short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_counter(vocabulary, pattern), f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_counter(ship(docs.sparkSession, vocabulary), pattern), f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:

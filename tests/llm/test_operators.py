@@ -406,6 +406,39 @@ def test_sharding(docs, texts, none):
     assert empty.count() == 0
 
 
+def test_shards_stay_even_with_repeated_and_missing_ids(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(k, "x" * rng.randrange(400)) for k in range(6_000)] + [(7, "the same row " * 15)] * 3_000 + [(None, f"no id {k % 50}" * 20) for k in range(1_500)]
+    df = spark.createDataFrame([(i, t, 0, 1) for i, t in rows], "doc_id long, text string, slot int, shard int")
+    got, slot_map = sharding.shard_documents(df, shards=8, slots=2048, map_path=str(tmp_path / "m"))
+    got = got.collect()
+    assert sorted((str(r.doc_id), r.size) for r in got) == sorted((str(i), len(t) + 8) for i, t in rows)
+    load = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(load) <= 1.1 * sum(load) / 8
+    for s in range(8):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert sharding.load_map(spark, str(tmp_path / "m")) == slot_map
+    edited = [(k, t + " edited") for k, t in rows[:200]]
+    where = {r.doc_id: r.virtual_slot for r in sharding.sized(spark.createDataFrame(rows[:200], "doc_id long, text string")).collect()}
+    assert where == {r.doc_id: r.virtual_slot for r in sharding.sized(spark.createDataFrame(edited, "doc_id long, text string")).collect()}
+
+
+def test_documents_are_evenly_dealt(spark):
+    got = sharding.op7_virtual_slot_sharding(spark, "/root/testdata/sf0.01").collect()
+    load = [sum(r.size for r in got if r.shard == s) for s in range(24)]
+    assert max(load) - min(load) <= max(r.size for r in got) and {r.law for r in got} == {"bytes"}
+    assert {r.grown_shard for r in got} == {None}
+
+
+def test_written_shards_hold_all_documents(spark, tmp_path):
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(300)] + [(None, "n")], "doc_id long, text string")
+    rows, slot_map = sharding.shard_documents(df, shards=5, slots=64)
+    sharding.write_shards(df, slot_map, str(tmp_path / "w"))
+    written = spark.read.parquet(str(tmp_path / "w"))
+    want = {r.doc_id: r.shard for r in rows.collect()}
+    assert {r.doc_id: r.shard for r in written.collect()} == want and written.count() == 301
+
+
 def test_shards_are_even_and_maps_are_edited(spark, tmp_path):
     rng = random.Random(1)
     weight = {s: rng.randrange(1, 1000) for s in range(2048)}
@@ -554,6 +587,24 @@ def test_phrases_match_plain_parsing():
             assert got[d, k] == cross_parse(bytes(part), bytes(ref))
 
 
+def test_code_lengths_and_winner_match_plain_parsing(spark):
+    rng = random.Random(9)
+    refs = {"x": "".join(rng.choice("abc ") for _ in range(300)), "y": "".join(rng.choice("bcd ") for _ in range(500)), "z": "".join(rng.choice("abcd ") for _ in range(200))}
+    model = language_id.Model(refs)
+    coder = language_id.Coder(model.alphabet)
+    coded = {n: bytes(coder.encode([t])[0].tolist()) for n, t in refs.items()}
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (3, 40, 300, 2500)] + ["bcd bcd", "e", "!", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pairs(language_id.identify(rows, model), "doc_id", "lang_pred", "score")
+    for k, t in enumerate(texts):
+        part = bytes(coder.encode([t or ""])[0].tolist())
+        bits = {n: cross_parse(part, coded[n]) * np.log2(len(coded[n])) for n in sorted(refs)}
+        best = min(bits, key=lambda n: (bits[n], n))
+        some = any(c.isalpha() for c in t or "")
+        assert got[k][0] == (best if some else "und")
+        assert abs(got[k][1] - (1 / sum(2 ** -min(b - bits[best], 200) for b in bits.values()) if some else 0)) < 1e-9
+
+
 def test_language_edges(spark, none):
     rows = [(i, "the cat sat on the mat and the dog ran in the park", "en") for i in range(30)] + [(i, "der hund und die katze sind nicht auf der matte im garten", "de") for i in range(30, 60)]
     rows += [(60, None, "en"), (61, "12 34 !!", "en"), (62, "", None), (63, "die katze und der hund", None), (64, "Ж", None), (None, "the dog", "en")]
@@ -636,6 +687,50 @@ def test_quality(spark, none):
     assert quality.score_documents(none, model).count() == 0
 
 
+def test_scores_are_sums_of_table_entries():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, len(quality.FEATURES)))
+    model = quality.Model(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(int))
+    fresh = np.vstack([rng.normal(size=(60, x.shape[1])), x[:5], np.zeros((1, x.shape[1]))])
+    for row, score in zip(fresh, model.score(fresh)):
+        margin = model.base
+        cell = lambda edges, v: sum(1 for e in edges if e < v)
+        for k, table in enumerate(model.tables):
+            margin += table[cell(model.edges[k], row[k])]
+        for a, b, table in model.pairs:
+            margin += table[cell(model.coarse[a], row[a]), cell(model.coarse[b], row[b])]
+        assert abs(1 / (1 + np.exp(-margin)) - score) < 1e-12
+
+
+def test_features_are_what_they_say():
+    import pyarrow as pa
+
+    text = "The cat sat. The dog, RAN 12 $$\nthe cat sat!"
+    got = dict(zip(quality.FEATURES, quality.features(*textbuf.utf8(pa.array([text], pa.string())))[0]))
+    words, size = text.split(), len(text)
+    want = {
+        "log_bytes": np.log1p(size), "log_words": np.log1p(len(words)), "word_length": np.mean([len(w) for w in words]), "word_length_sd": np.std([len(w) for w in words]),
+        "upper": sum(c.isupper() for c in text) / size, "digit": 2 / size, "space": sum(c.isspace() for c in text) / size, "symbol": 2 / size, "lines_log": np.log1p(2),
+        "words_a_line": len(words) / 2, "distinct_words": len({w.lower() for w in words}) / len(words), "top_word": 3 / len(words), "capital_words": sum(w[0].isupper() for w in words) / len(words), "sentence_ends": 1 / len(words), "commas": 1 / len(words),
+    }
+    for name, value in want.items():
+        assert abs(got[name] - value) < 1e-9, name
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    rows = [(k % 40, ("good text here. " if k % 40 < 20 else "bad$$ ### ") * (1 + k % 7)) for k in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 20)) for k in range(40)], "doc_id long, quality int")
+    seen = []
+    plain = quality.Model
+    try:
+        quality.Model = lambda x, y: seen.append(len(x)) or plain(x, y)
+        quality.fit(docs, labels)
+    finally:
+        quality.Model = plain
+    assert seen == [40]
+
+
 def test_scores_do_not_depend_on_neighbours(texts):
     import pyarrow as pa
 
