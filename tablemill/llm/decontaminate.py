@@ -241,7 +241,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     rows = docs.filter(data.isNotNull()).select(F.struct(*(c.alias(k) for k, c in keys.items())).alias("_key"), data.alias("text"))
     matched = match_benchmark(rows, benchmark, "_key", "text", **options)
     gone = store(matched.filter(F.size("spans") > 0).select("_key._k1", "_key._k2").distinct(), "contaminated")
-    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in keys.items()))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in keys.items()))
     return rows.join(small_or_shuffled(gone), list(keys), "left_anti").select("row.*")
 
 

@@ -26,6 +26,38 @@ FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
 
 
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP6_SQL = rf"""
+WITH item AS (
+  SELECT item, row_number() OVER (ORDER BY item, text) AS k, regexp_extract_all(translate(text, {_AZ}), '{_ALNUM}') AS w
+  FROM (SELECT DISTINCT item_id::VARCHAR AS item, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+), span AS (
+  SELECT item, k, w, least(len(w), 10) AS size, unnest(range(greatest(len(w) - 9, least(len(w), 1)))) AS off FROM item
+), win AS (
+  SELECT item, k, off, size, array_to_string(w[off + 1:off + size], ' ') AS gram FROM span
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_ALNUM}') AS w FROM documents
+), place AS (
+  SELECT doc_id, w, size, unnest(range(greatest(len(w) - size + 1, 0))) AS pos FROM doc, (SELECT DISTINCT size FROM win)
+), hit AS (
+  SELECT doc_id, pos, size, item, k, off FROM (SELECT doc_id, pos, size, array_to_string(w[pos + 1:pos + size], ' ') AS gram FROM place) JOIN win USING (size, gram)
+), covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM hit) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+), run AS (
+  SELECT doc_id, k, any_value(item) AS item, count(*) - 1 + min(size) AS words, min(pos) AS pos, min(off) AS off
+  FROM (SELECT *, pos - off AS diagonal, pos - row_number() OVER (PARTITION BY doc_id, k, pos - off ORDER BY pos) AS part FROM hit) GROUP BY doc_id, k, diagonal, part
+), longest AS (
+  SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, pos, k, off) = 1
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items, sha256(coalesce(f.items, '')) AS items_sha256,
+  coalesce(l.words, 0) AS longest_words, coalesce(l.pos, -1) AS longest_at, l.item AS longest_item, coalesce(l.off, -1) AS longest_item_at, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id) LEFT JOIN longest l USING (doc_id)
+"""
+
+
 def op3_sql(templates: list[tuple[str, list[str]]], marks: list[str], dice: float, slack) -> str:
     """The licence scan; ``templates`` are names with their bigrams."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"

@@ -35,7 +35,7 @@ THRESHOLD = 0.7
 
 FEATURES = [
     "log_bytes", "log_words", "word_length", "word_length_sd", "upper", "digit", "punctuation", "symbol", "beyond_ascii", "space",
-    "lines_log", "words_a_line", "line_sd", "distinct_words", "distinct_lines", "distinct_pairs", "top_word", "stop_words", "odd_ends",
+    "lines_log", "words_a_line", "line_sd", "distinct_words", "distinct_lines", "distinct_pairs", "top_word", "brief_words", "symbol_ends",
     "capital_words", "pipes", "adjacent_repeats", "sentence_ends", "short_words", "long_words", "distinct_triples", "commas",
 ]
 

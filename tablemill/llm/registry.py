@@ -16,7 +16,7 @@ from tablemill.llm import (
     sharding,
     token_counts,
 )
-from tablemill.llm.oracles import OP1_SQL, op3_sql
+from tablemill.llm.oracles import OP1_SQL, OP6_SQL, op3_sql
 
 QUERIES: dict[str, Callable] = {
     "op1_minhash_near_dedup": minhash_dedup.op1_minhash_near_dedup,
@@ -33,5 +33,6 @@ QUERIES: dict[str, Callable] = {
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
+    "op6_benchmark_decontamination": OP6_SQL,
     "op3_license_scan": op3_sql(licenses.known_templates(), licenses.MARKS, licenses.DICE, licenses.slack),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -55,10 +56,40 @@ def shipped(name: str) -> str:
     return SparkFiles.get(name)
 
 
+_OWN = f"run-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """This driver's folder within the shared one; it goes when the driver ends, or by ``clear``."""
+    path = f"{shared_dir(spark)}/tablemill/{_OWN}"
+    if path not in _used:
+        _used[path] = spark
+        atexit.register(_clear_quietly, path)
+    return path
+
+
+_used: dict[str, SparkSession] = {}
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that ``store`` wrote for this driver; frames made from it can't be read afterwards."""
+    for path in list(_used):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        _used.pop(path)
+
+
+def _clear_quietly(path: str) -> None:
+    spark = _used.get(path)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone; whoever owns the folder empties it then
+            clear(spark)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, and a
     lost executor costs a re-read instead of the work before it."""
-    path = f"{shared_dir(df.sparkSession)}/tablemill/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -36,3 +36,46 @@ def test_stages(spark, tmp_path):
 def test_run_is_the_stages(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+EDGES = [
+    (1, None, None), (2, "", "en"), (3, "   \n", "en"), (4, "12 34 !!", "en"), (None, "the and of that with for one document without an id", None), (None, "the and of that with for one document without an id", "en"),
+    (5, "the and of that with for one document without an id", "en"), (6, "der und die mit nicht für ein", None), (6, "der und die mit nicht für ein", None), (7, "the mail of one is a.b@c.example.org and of that", "en"),
+    (8, "the and of to that with " * 30_000, "en"), (9, "the and of to that with " * 30_000, "en"),
+]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    learnt = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    rows = [(i, t, g, "s", 1, 0.5, "w", "x") for i, t, g in EDGES] + [(1000 + r.doc_id, r.text, r.lang, "s", 1, 0.5, "w", "x") for r in learnt[:60]]
+    # Names that the operators use for columns of their own.
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, row string, k1 int, score double, spans string, `found.id` string")
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_each_stage_takes_odd_rows(spark, edges, k):
+    name, stage = corpus_pipeline.STAGES[k]
+    out = stage(spark, edges, SF)
+    rows = out.collect()
+    if k < 4:
+        assert out.columns == edges.columns and out.dtypes == edges.dtypes
+    own = [r for r in rows if r.doc_id is None or r.doc_id < 1000]
+    ids = sorted((r.doc_id for r in own), key=str)
+    if name == "language_id":
+        assert not {1, 2, 3, 4} & set(ids) and {7, 8, 9, None} <= set(ids)
+        assert {r.lang for r in own if r.doc_id in (6, None)} <= {"de", "en"}
+    elif name == "near_dedup":
+        assert ids == sorted([1, 2, 3, 4, 5, 6, 7, 8], key=str)
+    elif name == "decontaminate":
+        assert len(own) == len(EDGES)
+    elif name == "pii":
+        text = {r.doc_id: r.text for r in own}
+        assert len(own) == len(EDGES) and text[7] == "the mail of one is [EMAIL] and of that" and text[1] is None and text[2] == "" and len(text[8]) == len(EDGES[10][1])
+    else:
+        assert len(own) == len(EDGES) and [r.n_tokens for r in own if r.doc_id in (1, 2)] == [0, 0]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_each_stage_takes_an_empty_table(spark, edges, k):
+    assert corpus_pipeline.STAGES[k][1](spark, edges.limit(0), SF).count() == 0
