@@ -2,7 +2,7 @@
 
 ``STAGES`` lists the steps in order.  Each takes (spark, docs, sf_dir) and returns a DataFrame that
 is written as Parquet and read again as the next step's ``docs``; all but the last return the
-columns of ``docs``.
+columns of ``docs``, in their order and whatever else they are called.
 """
 
 from __future__ import annotations
@@ -14,28 +14,43 @@ from tablemill.llm import decontaminate, language_id, minhash_dedup, pii, scratc
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, or that no learned language explains."""
+    """Drop documents without a letter (null and empty texts too), or that no learned language explains;
+    a missing ``lang`` is filled with the one found.
+
+    Nothing to learn from (an empty table, or no text with a language) keeps every row.  Rows that
+    repeat an id are judged one by one, very long texts whole.
+    """
     return language_id.keep_identified(docs, language_id.fit_documents(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near duplicates."""
+    """Keep the smallest id of each group of near duplicates, and one row of those that repeat id and text.
+
+    Rows without an id are told by their text and placed behind all ids.  Texts without words are near
+    nothing and stay, once for each id; an empty table stays empty.
+    """
     return minhash_dedup.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which a window of a benchmark item occurs."""
+    """Drop documents in which a window of a benchmark item occurs.
+
+    Rows are told by their text, so null and repeated ids do not matter; null and empty texts stay.
+    """
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by its kind; n_chars follows the new text."""
+    """Replace personal data by its kind; n_chars, if there is such a column, follows the new text.
+
+    Every row stays; null and empty texts stay as they are; rows that repeat id and text are masked alike.
+    """
     masked = pii.redact(docs, pii.find(docs))
     return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of ids and decoded text."""
+    """doc_id, n_tokens and digests of ids and decoded text, one row for each row; a null or empty text has no ids."""
     return sentencepiece_codec.digests(sentencepiece_codec.encode_documents(docs, sentencepiece_codec.default_model()))
 
 
