@@ -379,7 +379,7 @@ def skills_extract(spark, sf_dir):
     return jobs(spark, sf_dir).select("job_id", features.skills().found_string(F.col("job_description")).alias("skills"))
 
 
-@query(over(f"SELECT job_id, array_to_string({s_list([(c, s_phrases(_DESC, [x for p in names.values() for x in p])) for c, names in sorted(vocab.skill_phrases().items())])}, ', ') AS categories FROM jobs"))
+@query(over(f"SELECT job_id, array_to_string({s_list([(c, '(' + ' OR '.join(s_phrases(_DESC, p) for p in names.values()) + ')') for c, names in sorted(vocab.skill_phrases().items())])}, ', ') AS categories FROM jobs"))
 def skill_categories(spark, sf_dir):
     return jobs(spark, sf_dir).select("job_id", F.array_join(features.skills().found_categories(F.col("job_description")), ", ").alias("categories"))
 
