@@ -88,3 +88,106 @@ SELECT d.doc_id, count(h.first) AS n_matches, coalesce(string_agg(DISTINCT h.lic
   coalesce(array_to_string(list_sort(list_distinct(list(h.first) FILTER (WHERE h.first IS NOT NULL))), ','), '') AS places, coalesce(max(h.dice), 0.0::DOUBLE) AS best_dice
 FROM documents d LEFT JOIN hit h USING (doc_id) GROUP BY d.doc_id
 """
+
+
+def _crc_steps(longest: str) -> str:
+    """Table crc_step(v, k, c): the checksum's register after k zero bits, from a byte or from its first value.
+    A checksum is the exclusive or of what each byte, and the first value, have become at the end."""
+    return f"""crc_step(v, k, c) AS (
+  SELECT v, 0, v FROM (SELECT unnest(range(256)) AS v UNION ALL SELECT 4294967295)
+  UNION ALL SELECT v, k + 1, xor(c >> 1, (c & 1) * 3988292384) FROM crc_step WHERE k < 8 * ({longest})
+)"""
+
+
+def _crc_of(keyed: str) -> str:
+    """Tables crc_byte and crc(key, h) of the distinct texts of table ``keyed`` (key)."""
+    return f"""crc_byte AS (
+  SELECT key, octet_length(encode(key)) AS n, unnest(range(octet_length(encode(key)))) AS i, hex(encode(key)) AS x FROM {keyed}
+), crc AS (
+  SELECT key, xor(xor(bit_xor(s.c), any_value(z.c)), 4294967295) AS h
+  FROM crc_byte b JOIN crc_step s ON s.v = ('0x' || substr(x, 2 * i + 1, 2))::BIGINT AND s.k = 8 * (n - i)
+  JOIN crc_step z ON z.v = 4294967295 AND z.k = 8 * n GROUP BY key
+)"""
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE run AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(r, {_AZ}) AS r
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents)
+), own AS (SELECT id || ':' || r AS key, r, count(*) AS n FROM run GROUP BY ALL
+), {_crc_steps("SELECT max(octet_length(encode(key))) FROM own")}, {_crc_of("own")}, kept AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, (h % length(r))::BIGINT) || substr(r, (h % length(r))::BIGINT + 2) ELSE r END AS word, n FROM own JOIN crc USING (key)
+), word AS (SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (SELECT word, substr(word, 1, k) || substr(word, k + 2) AS v FROM (SELECT word, unnest(range(length(word))) AS k FROM word)
+), pair AS (
+  SELECT DISTINCT a.word AS a, b.word AS b FROM cut a JOIN cut b USING (v) WHERE a.word <> b.word AND length(a.word) = length(b.word) AND len(list_filter(range(1, length(a.word) + 1), lambda k: a.word[k] <> b.word[k])) = 1
+), link AS (
+  SELECT a, b FROM pair UNION SELECT c.word, w.word FROM cut c JOIN word w ON w.word = c.v UNION SELECT w.word, c.word FROM cut c JOIN word w ON w.word = c.v
+), best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS b, max(w.n) AS bn FROM link JOIN word w ON w.word = b GROUP BY a
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * n THEN b END AS form, CASE WHEN bn >= 2 * n THEN bn END AS form_n FROM word LEFT JOIN best USING (word)
+), up(word, reached, form) AS (SELECT word, word, form FROM formed UNION ALL SELECT u.word, f.word, f.form FROM up u JOIN formed f ON f.word = u.form)
+SELECT f.word, f.form, u.reached AS root, f.n, f.n_near, f.form_n FROM formed f JOIN up u ON u.word = f.word AND u.form IS NULL
+"""
+
+OP12_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, pos, array_to_string(w[pos + 1:pos + 20], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 19, 0))) AS pos FROM doc)
+), again AS (
+  SELECT doc_id, pos FROM win QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(pos, pos + 20)))) AS gone FROM again GROUP BY doc_id
+), word AS (
+  SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS k FROM doc
+), kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM word LEFT JOIN (SELECT doc_id, unnest(gone) AS k, true AS out FROM gone) USING (doc_id, k) WHERE out IS NULL GROUP BY word.doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Table ``name`` (tree, level, idx, h, n): all nodes above ``leaves`` (tree, 0, idx, h, n); and ``name``_kids, each parent's children."""
+    return f"""{name}(tree, level, idx, h, n) AS (
+  SELECT tree, 0, idx, h, n FROM {leaves}
+  UNION ALL SELECT tree, level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), {name}_kids AS (
+  SELECT tree, level, idx // 3 AS parent, list(h ORDER BY idx) AS hs FROM {name} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _climb(name: str, tree: str, start: str) -> str:
+    """Table ``name``: each document's way from ``start`` (doc_id, tree, idx, found, proof) up ``tree``."""
+    return f"""{name}(doc_id, tree, level, idx, found, proof) AS (
+  SELECT doc_id, tree, 0, idx, found, proof FROM {start}
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.level + 1, c.idx // 3,
+    sha256(array_to_string(list_transform(k.hs, lambda h, i: CASE WHEN i = c.idx % 3 + 1 THEN c.found ELSE h END), '')),
+    c.proof || array_to_string(list_filter(k.hs, lambda h, i: i <> c.idx % 3 + 1), '')
+  FROM {name} c JOIN {tree}_kids k ON k.tree = c.tree AND k.level = c.level AND k.parent = c.idx // 3
+), {name}_end AS (SELECT doc_id, tree, found, proof FROM {name} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE own AS (SELECT DISTINCT doc_id::VARCHAR AS key FROM documents
+), {_crc_steps("SELECT max(octet_length(encode(key))) FROM own")}, {_crc_of("own")}, leaf AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n,
+    {_leaf("text")} AS h, CASE WHEN c.h % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS found
+  FROM documents d JOIN crc c ON c.key = d.doc_id::VARCHAR
+), {_tree("node", "leaf")}, sub AS (
+  SELECT '' AS tree, tree AS own, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n, h FROM node WHERE n = 1
+), {_tree("top", "sub")}, {_climb("low", "node", "(SELECT *, '' AS proof FROM leaf)")}, {_climb("high", "top", "(SELECT e.doc_id, s.tree, s.idx, e.found, e.proof FROM low_end e JOIN sub s ON s.own = e.tree)")}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.found AS folded_root, e.found = r.h AS verified
+FROM leaf l JOIN sub s ON s.own = l.tree JOIN high_end e USING (doc_id) JOIN top r ON r.n = 1
+"""

@@ -8,15 +8,18 @@ from tablemill.llm import (
     decontaminate,
     language_id,
     licenses,
+    merkle,
     minhash_dedup,
     multi_index,
     pii,
     quality,
     sentencepiece_codec,
     sharding,
+    spelling,
+    substring_dedup,
     token_counts,
 )
-from tablemill.llm.oracles import OP1_SQL, OP6_SQL, op3_sql
+from tablemill.llm.oracles import OP1_SQL, OP6_SQL, OP11_SQL, OP12_SQL, OP13_SQL, op3_sql
 
 QUERIES: dict[str, Callable] = {
     "op1_minhash_near_dedup": minhash_dedup.op1_minhash_near_dedup,
@@ -29,10 +32,16 @@ QUERIES: dict[str, Callable] = {
     "op8_pii_bootstrapped": pii.op8_pii_bootstrapped,
     "op9_language_id": language_id.op9_language_id,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_substring_dedup": OP12_SQL,
+    "op13_merkle_manifest": OP13_SQL,
     "op3_license_scan": op3_sql(licenses.known_templates(), licenses.MARKS, licenses.DICE, licenses.slack),
 }
