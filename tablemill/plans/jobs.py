@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablemill.functions import chunk, classify, features, normalize, score
@@ -90,73 +93,106 @@ def enrich(processed: DataFrame, skills: features.Vocabulary | None = None, tool
     )
 
 
-def publish(enriched: DataFrame, jobs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(jobs, details): the exported projection merged into ``jobs`` by id, and id with description."""
+def publish(enriched: DataFrame, jobs: DataFrame | None = None, details: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(jobs, details): the exported projection, and ids with descriptions, each merged by id into what was published before."""
     enriched = dedup.last_of(enriched, "job_id", ["scraped_at"] if "scraped_at" in enriched.columns else ["job_id"])
     rows = filters.export_projection(enriched)
-    details = enriched.select("job_id", F.coalesce("job_description", F.lit("")).alias("job_description"))
-    return (dedup.upsert(jobs, rows, "job_id") if jobs is not None else rows), details
+    texts = enriched.select("job_id", F.coalesce("job_description", F.lit("")).alias("job_description"))
+    merged = lambda old, new: new if old is None else dedup.upsert(old, new, "job_id")
+    return merged(jobs, rows), merged(details, texts)
+
+
+class Backfill:
+    """Chunks and embeddings of the details that have none yet, and the counts that ride on writing them."""
+
+    def __init__(self, details: DataFrame, chunks: DataFrame | None = None, only: DataFrame | None = None, model=None):
+        self._told, self._made = Observation(f"details-{uuid.uuid4().hex}"), Observation(f"chunks-{uuid.uuid4().hex}")
+        rows = details.select("job_id", F.col("job_description").cast("string").alias("job_description"))
+        if only is not None:
+            rows = rows.join(only.select("job_id").distinct(), "job_id", "left_semi")
+        if chunks is None:
+            rows = rows.withColumn("done", F.lit(False))
+        else:
+            rows = rows.join(chunks.select("job_id").distinct().withColumn("_d", F.lit(True)), "job_id", "left").withColumn("done", F.col("_d").isNotNull()).drop("_d")
+        empty = F.trim(F.coalesce("job_description", F.lit(""))) == ""
+        self._sorted = rows.withColumn("empty", empty)
+        self._counts = {"processed": F.count_if(~F.col("empty") & ~F.col("done")), "skipped": F.count_if(F.col("done")), "empty": F.count_if(F.col("empty") & ~F.col("done"))}
+        self._model = model
+
+    def rows(self) -> DataFrame:
+        """job_id, chunk_index, chunk_text, embedding."""
+        todo = self._sorted.observe(self._told, *(c.alias(k) for k, c in self._counts.items())).filter("not done and not empty")
+        made = chunk.explode_chunks(todo, "job_id", "job_description").observe(self._made, F.count("*").alias("inserted"))
+        return made.withColumn("embedding", chunk.embed(F.col("chunk_text"), self._model))
+
+    def counts(self) -> dict[str, int]:
+        """Of the one write of ``rows``: details processed, had before, empty; chunks inserted."""
+        return {k: int(v) for k, v in (self._told.get | self._made.get).items()}
+
+    def failed(self) -> dict[str, int]:
+        """The counts if writing failed: what was to do has failed."""
+        found = self._sorted.agg(*(c.alias(k) for k, c in self._counts.items())).first().asDict()
+        return {"processed": 0, "skipped": found["skipped"], "empty": found["empty"], "inserted": 0, "failed": found["processed"]}
 
 
 def backfill_chunks(details: DataFrame, chunks: DataFrame | None = None, only: DataFrame | None = None, model=None) -> DataFrame:
     """job_id, chunk_index, chunk_text, embedding of the details that have no chunks yet."""
-    rows = details.filter(F.trim(F.coalesce("job_description", F.lit(""))) != "")
-    if only is not None:
-        rows = rows.join(only.select("job_id").distinct(), "job_id", "left_semi")
-    if chunks is not None:
-        rows = rows.join(chunks.select("job_id").distinct(), "job_id", "left_anti")
-    return chunk.explode_chunks(rows, "job_id", "job_description").withColumn("embedding", chunk.embed(F.col("chunk_text"), model))
-
-
-def backfill_counts(details: DataFrame, chunks: DataFrame | None) -> dict[str, int]:
-    """Details to do, already done, and empty, in one pass."""
-    empty = F.trim(F.coalesce("job_description", F.lit(""))) == ""
-    done = details.select("job_id", empty.alias("empty"))
-    if chunks is None:
-        done = done.withColumn("done", F.lit(False))
-    else:
-        done = done.join(chunks.select("job_id").distinct().withColumn("_d", F.lit(True)), "job_id", "left").withColumn("done", F.col("_d").isNotNull())
-    counts = done.agg(F.count_if(~F.col("empty") & ~F.col("done")).alias("processed"), F.count_if(F.col("done")).alias("skipped"), F.count_if(F.col("empty") & ~F.col("done")).alias("empty")).first()
-    return counts.asDict()
+    return Backfill(details, chunks, only, model).rows()
+
+
+def fingerprint(df: DataFrame, *more) -> str:
+    """What tells an input from another: columns, rows (their order does not matter) and ``more`` that the result depends on."""
+    row = F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in df.columns))
+    n, total, mix = df.agg(F.count("*"), F.sum(F.pmod(row, F.lit(1 << 31))), F.bit_xor(row)).first()
+    return hashlib.sha256(json.dumps([df.columns, n, total, mix, *map(str, more)]).encode()).hexdigest()
 
 
 def run(
-    spark: SparkSession, raw: DataFrame, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None, hours: int | None = None,
-    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | None = None,
+    spark: SparkSession, raw: DataFrame | None, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None, hours: int | None = None,
+    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | None = None, resume: bool = False,
 ) -> dict:
     """All stages, each a snapshot; any failure before publishing leaves the last run in place.
 
-    ``hours``, ``platforms`` and ``countries`` narrow what is taken in.  Chunks and embeddings come last
-    and may fail without failing the run, or be left out.  The manifest holds rows and seconds of each
-    table and how many details were embedded, had been before, were empty, or failed.
+    ``hours``, ``platforms`` and ``countries`` narrow what is taken in; without ``raw`` the accepted rows of the last
+    published run are taken again.  Jobs and details are merged into those published before.  Chunks and embeddings
+    come last and may fail without failing the run, or be left out: those published before stay.  With ``resume`` a
+    run of the same id and the same input goes on behind its last complete stage.  The manifest holds rows and seconds
+    of each table, whether it was taken over, and how many details were embedded, had been before, were empty, or failed.
     """
     run = run or store.run_id()
     shots, tables = store.Snapshots(spark, root), []
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        tables.append(shots.write(run, name, df))
+    before = shots.latest()
+    known = {t["table"] for t in before["tables"]} if before else set()
+    old = lambda name: shots.read(name, before["run_id"]) if name in known else None
+    if raw is None and "jobs_raw" not in known:
+        raise ValueError("no rows are given and none are published")
+    given = None
+    if resume:
+        source = raw if raw is not None else old("jobs_raw")
+        given = fingerprint(source, raw is None, now, hours, platforms, countries, detector is not None, before and before["run_id"])
+
+    def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        done = shots.finished(run, name, given) if resume else None
+        tables.append(done or shots.write(run, name, build()))
+        if resume and not done:
+            shots.finish(run, name, given, tables[-1])
         return shots.read(name, run)
 
-    accepted = stage("jobs_raw", accept(collect(raw, now, hours, platforms, countries)))
-    processed = stage("jobs_processed", preprocess(accepted, detector))
-    enriched = stage("jobs_enriched", enrich(processed))
+    accepted = stage("jobs_raw", lambda: accept(collect(raw, now, hours, platforms, countries)) if raw is not None else old("jobs_raw"))
+    processed = stage("jobs_processed", lambda: preprocess(accepted, detector))
+    enriched = stage("jobs_enriched", lambda: enrich(processed))
     if dry_run:
         return {"run_id": run, "tables": tables, "published": False}
-    before = shots.latest()
-    known = {t["table"] for t in before["tables"]} if before else set()
-    jobs, details = publish(enriched, shots.read("jobs", before["run_id"]) if "jobs" in known else None)
-    stage("jobs", jobs)
-    details = stage("job_details", details)
-    error, counts = None, None
+    stage("jobs", lambda: publish(enriched, old("jobs"))[0])
+    details = stage("job_details", lambda: publish(enriched, None, old("job_details"))[1])
+    error, counts, have = None, None, old("job_chunks")
     if embeddings:
-        have = shots.read("job_chunks", before["run_id"]) if "job_chunks" in known else None
-        counts = backfill_counts(details, have) | {"failed": 0}
+        work = Backfill(details, have, model=model)
         try:
-            fresh = backfill_chunks(details, have, model=model)
-            stage("job_chunks", fresh if have is None else have.unionByName(fresh))
-        except Exception as e:  # the run is complete without embeddings
-            error = str(e)[:500]
-            counts |= {"failed": counts["processed"], "processed": 0}
-    elif "job_chunks" in known:
-        stage("job_chunks", shots.read("job_chunks", before["run_id"]))
+            stage("job_chunks", lambda: work.rows() if have is None else have.unionByName(work.rows()))
+            counts = {"failed": 0} if tables[-1].get("resumed") else work.counts() | {"failed": 0}
+        except Exception as e:  # the run is complete without new embeddings
+            error, counts = str(e)[:500], work.failed()
+    if have is not None and (error or not embeddings):
+        stage("job_chunks", lambda: have)
     return shots.publish(run, tables, embedding_error=error, backfill=counts, published=True)

@@ -7,6 +7,7 @@ import re
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -105,6 +106,17 @@ class Snapshots:
             raise RuntimeError(f"{path}: {rows} rows written, {found} found")
         return {"table": table, "path": path, "rows": found, "columns": back.columns, "seconds": round(time.time() - began, 3)}
 
+    def finish(self, run: str, table: str, given: str, entry: dict) -> None:
+        """Note that a run's table is complete, and from what input."""
+        put_json(self.spark, f"{self.root}/run_id={run}/_finished/{table}.json", {"given": given, "entry": entry})
+
+    def finished(self, run: str, table: str, given: str) -> dict | None:
+        """The entry of a table that this run completed from the same input, marked as taken over."""
+        note = get_json(self.spark, f"{self.root}/run_id={run}/_finished/{table}.json")
+        if not note or note["given"] != given or not exists(self.spark, f"{note['entry']['path']}/_SUCCESS"):
+            return None
+        return note["entry"] | {"resumed": True}
+
     def truncate(self, run: str, table: str) -> dict:
         """A version of ``table`` without rows, of the same columns."""
         return self.write(run, table, self.read(table).limit(0))
@@ -188,7 +200,9 @@ def compact(spark: SparkSession, path: str, to: str, file_bytes: int = 256 << 20
     """Rewrite a table in files of about ``file_bytes``."""
     p, fs = _fs(spark, path)
     total = fs.getContentSummary(p).getLength()
-    spark.read.parquet(path).repartition(max(1, -(-total // file_bytes))).write.parquet(to)
+    rows, files = spark.read.parquet(path), max(1, -(-total // file_bytes))
+    # Fewer files need no shuffle; more do.
+    (rows.coalesce(files) if files <= len(rows.inputFiles()) else rows.repartition(files)).write.parquet(to)
 
 
 def table_bytes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -208,7 +222,9 @@ def union_scans(scans: dict[str, DataFrame]) -> DataFrame:
     """Scans of several search terms as one frame with the term and scan time; missing columns are null."""
     out = None
     for term, df in scans.items():
-        one = df.withColumn("search_term_used", F.lit(term)).withColumn("scraped_at", F.current_timestamp())
+        one = df.withColumn("search_term_used", F.lit(term))
+        if "scraped_at" not in one.columns:
+            one = one.withColumn("scraped_at", F.lit(datetime.now(timezone.utc)))  # the same whenever the plan runs
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
@@ -217,18 +233,45 @@ class RateLimited(Exception):
     """A source that asks for no more requests."""
 
 
-def scan_terms(terms: list[str], fetch: Callable[[str, int], DataFrame], target: int) -> tuple[DataFrame | None, list[str]]:
-    """(rows of all terms scanned, terms left): terms are fetched one after the other, each for its share
-    of ``target``, until the source is ``RateLimited``; what came before stays.  Other errors lose their term only."""
+#: Errors in a row after which a source is left alone.
+MOST_ERRORS = 3
+
+
+@dataclass
+class Scan:
+    """What a scan of several terms brought: rows, terms left when the source asked to stop, and failed terms with their errors."""
+
+    rows: DataFrame | None
+    left: list[str]
+    failed: dict[str, str]
+
+
+def looks_limited(error: Exception) -> bool:
+    """An error that says the source wants no more requests."""
+    said = str(error).lower()
+    return isinstance(error, RateLimited) or any(x in said for x in ("429", "too many requests", "rate", "blocked", "captcha"))
+
+
+def scan_terms(terms: list[str], fetch: Callable[[str, int], DataFrame], target: int, most_errors: int = MOST_ERRORS) -> Scan:
+    """Terms are fetched one after the other, each for its share of ``target``, until the source asks for a stop
+    or fails ``most_errors`` times in a row; what came before stays, and what failed is told."""
     scans: dict[str, DataFrame] = {}
+    failed: dict[str, str] = {}
+    errors, left = 0, []
     for k, term in enumerate(terms):
         try:
-            scans[term] = fetch(term, per_term_quota(target, len(terms)))
-        except RateLimited:
-            return (union_scans(scans) if scans else None), terms[k:]
-        except Exception:  # noqa: S112 (the next term may do)
-            continue
-    return (union_scans(scans) if scans else None), []
+            scans[term] = fetch(term, per_term_quota(target, len(terms))).withColumn("scraped_at", F.lit(datetime.now(timezone.utc)))
+            errors = 0
+        except Exception as e:
+            if looks_limited(e):
+                left = terms[k:]
+                break
+            errors += 1
+            failed[term] = str(e)[:500]
+            if errors >= most_errors:
+                left = terms[k + 1 :]
+                break
+    return Scan(union_scans(scans) if scans else None, left, failed)
 
 
 def select_sources(df: DataFrame, platforms: list[str] | None = None, countries: list[str] | None = None) -> DataFrame:

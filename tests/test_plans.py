@@ -130,8 +130,57 @@ def test_scan_stops_at_the_rate_limit(spark):
             raise ValueError("this term only")
         return df
 
-    rows, left = store.scan_terms(["a", "b", "c", "d"], fetch, 10)
-    assert rows.count() == 1 and left == ["c", "d"] and store.scan_terms([], fetch, 10) == (None, [])
+    got = store.scan_terms(["a", "b", "c", "d"], fetch, 10)
+    assert got.rows.count() == 1 and got.left == ["c", "d"] and got.failed == {"b": "this term only"}
+    assert store.scan_terms([], fetch, 10) == store.Scan(None, [], {})
+    got = store.scan_terms(["a", "b", "b2", "a", "b", "b2", "b3", "z"], lambda t, q: fetch("b" if t[0] == "b" else t, q), 10)
+    assert got.left == ["z"] and set(got.failed) == {"b", "b2", "b3"}  # three in a row, not three in all
+    first = got.rows.select("scraped_at").first()
+    assert got.rows.select("scraped_at").first() == first
+
+
+def test_published_tables_hold_all_runs(spark, raw, tmp_path):
+    """Three runs of different rows, the third without a working model: nothing published before is lost."""
+    shots = store.Snapshots(spark, str(tmp_path / "w"))
+
+    def broken(texts):
+        raise ValueError("no model")
+
+    part = lambda k: raw.filter(f"id % 3 = {k}")
+    ids = lambda name: {r.job_id for r in shots.read(name).select("job_id").distinct().collect()}
+    jobs.run(spark, part(0), shots.root, "r1")
+    one, chunks = ids("jobs"), ids("job_chunks")
+    again = jobs.run(spark, part(1), shots.root, "r2")
+    two, more = ids("jobs"), ids("job_chunks")
+    assert one < two and chunks < more and ids("job_details") == two
+    assert again["backfill"]["skipped"] == len(chunks) and again["backfill"]["processed"] + again["backfill"]["skipped"] + again["backfill"]["empty"] == len(two)
+    assert again["backfill"]["inserted"] == shots.read("job_chunks", "r2").count() - shots.read("job_chunks", "r1").count()
+    third = jobs.run(spark, part(2), shots.root, "r3", model=broken)
+    assert "no model" in third["embedding_error"] and ids("job_chunks") == more and two < ids("jobs") == ids("job_details")
+    assert third["backfill"]["failed"] == len(ids("jobs")) - len(two) and third["backfill"]["processed"] == 0
+    jobs.run(spark, part(2).filter("id < 0"), shots.root, "r4", embeddings=False)
+    assert ids("job_chunks") == more and len(ids("job_details")) == len(ids("jobs"))
+    jobs.run(spark, None, shots.root, "r5", embeddings=False)
+    assert ids("jobs") == ids("job_details") > two
+
+
+def test_a_broken_run_resumes(spark, raw, tmp_path, monkeypatch):
+    shots = store.Snapshots(spark, str(tmp_path / "w"))
+    whole = jobs.run(spark, raw, str(tmp_path / "v"), "r1")
+    enrich = jobs.enrich
+    monkeypatch.setattr(jobs, "enrich", lambda rows: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run(spark, raw, shots.root, "r1", resume=True)
+    assert shots.latest() is None
+    monkeypatch.setattr(jobs, "enrich", enrich)
+    out = jobs.run(spark, raw, shots.root, "r1", resume=True)
+    assert [t["table"] for t in out["tables"] if t.get("resumed")] == ["jobs_raw", "jobs_processed"]
+    for t in whole["tables"]:
+        a, b = spark.read.parquet(t["path"]), shots.read(t["table"], "r1")
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    # Another input does not take the old stages for its own.
+    other = jobs.run(spark, raw.filter("id < 60"), shots.root, "r1", resume=True, dry_run=True)
+    assert not any(t.get("resumed") for t in other["tables"])
 
 
 def test_functions_are_known_to_sql(spark):
