@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,41 +15,53 @@ LEAST, TARGET, MOST = 200, 2000, 3200
 DIMENSIONS = 512
 
 
-def _cut(text: str) -> int:
-    """Where the next chunk ends: a paragraph, else a sentence, else the target."""
-    at = text.rfind("\n\n", LEAST, TARGET)
-    if at >= 0:
-        return at
-    for stop in (". ", ".\n", "! ", "? "):
-        at = text.rfind(stop, LEAST, TARGET)
-        if at >= 0:
-            return at + len(stop)
-    return TARGET
+_STOPS = (". ", ".\n", "! ", "? ")
+_INK = re.compile(r"\S")
 
 
-def chunks_of(text: str | None) -> list[str]:
-    """Chunks of at least 200 characters; a text of up to 3200 is one."""
-    rest, out = (text or "").strip(), []
-    while len(rest) > MOST:
-        at = _cut(rest)
-        out.append(rest[:at].strip())
-        rest = rest[at:].strip()
-    out.append(rest)
-    return [c for c in out if len(c) >= LEAST]
+def _cut(text: str, at: int) -> int:
+    """Where the chunk that begins ``at`` ends: at a paragraph, else behind a sentence, else at the target."""
+    lo, hi = at + LEAST, at + TARGET
+    end = text.rfind("\n\n", lo, hi)
+    if end >= 0:
+        return end
+    for stop in _STOPS:
+        end = text.rfind(stop, lo, hi)
+        if end >= 0:
+            return end + len(stop)
+    return hi
 
 
-def chunk_text(text: Column) -> Column:
-    """The chunks of each text; the cutting is stateful, so it runs in Arrow batches."""
+def chunks_of(text: str | None) -> Iterator[str]:
+    """Chunks of at least 200 characters, one at a time; a text of up to 3200 is one.
 
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(chunks_of)
+    The text is walked by offsets: what is left is never copied, so the work is in proportion to the length.
+    """
+    text = (text or "").strip()
+    at = 0
+    while len(text) - at > MOST:
+        end = _cut(text, at)
+        chunk = text[at:end].strip()
+        if len(chunk) >= LEAST:
+            yield chunk
+        ink = _INK.search(text, end)
+        at = ink.start() if ink else len(text)
+    if len(text) - at >= LEAST:
+        yield text[at:]
+
+
+@F.udtf(returnType="chunk_index int, chunk_text string")
+class ChunkText:
+    """Table function: the chunks of a text in rows, as they are cut."""
 
-    return F.pandas_udf(run, "array<string>")(text)
+    def eval(self, text: str):
+        yield from enumerate(chunks_of(text))
 
 
 def explode_chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, chunk_index (among the kept chunks), chunk_text."""
-    return df.select(F.col(id_col), F.posexplode(chunk_text(F.col(text_col).cast("string"))).alias("chunk_index", "chunk_text"))
+    rows = df.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    return rows.lateralJoin(ChunkText(F.col("_text").outer())).select(id_col, "chunk_index", "chunk_text")
 
 
 def hashed_vector(text: str, dimensions: int = DIMENSIONS) -> list[float]:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
+import warnings
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import rx, vocab
+from tablemill.functions import phrases, rx, vocab
 
 
 def _labels(text: Column, table: dict[str, list[str]]) -> Column:
@@ -55,14 +57,13 @@ class Vocabulary:
 
     @classmethod
     def from_phrases(cls, tables: dict[str, dict[str, list[str]]]) -> Vocabulary:
-        """Phrases stand between word borders; any white space parts their words."""
-        pattern = lambda phrase: r"\b" + r"\s+".join(map(re.escape, phrase.split())) + r"\b"
-        return cls.from_tables({c: {n: [pattern(x) for x in phrases] for n, phrases in names.items()} for c, names in tables.items()})
+        """Phrases stand between word borders; any white space parts their words.  All are found in one pass."""
+        return PhraseVocabulary([(name, category, list(own)) for category, table in tables.items() for name, own in table.items()])
 
     @classmethod
     def load(cls, path: str, kind: str, spark: SparkSession | None = None) -> Vocabulary:
         """From JSON {categories, total_<kind>, <kind>: [{name, category, patterns}]}; entries without
-        name or patterns and patterns that do not compile are left out."""
+        name or patterns are left out, patterns that do not compile with a warning."""
         if spark is None:
             with open(path, encoding="utf-8") as f:
                 data = json.load(f)
@@ -75,8 +76,8 @@ class Vocabulary:
                 try:
                     re.compile(p, re.IGNORECASE)
                     good.append(p)
-                except re.error:
-                    continue
+                except re.error as e:
+                    warnings.warn(f"{x.get('name')}: the pattern {p!r} is left out: {e}", stacklevel=2)
             if x.get("name") and good:
                 entries.append((x["name"], x.get("category", ""), good))
         return cls(entries, data.get("categories"), data.get(f"total_{kind}"))
@@ -125,12 +126,49 @@ class Vocabulary:
         return F.map_from_entries(F.filter(F.array(*pairs), lambda x: F.size(x["value"]) > 0))
 
 
+class PhraseVocabulary(Vocabulary):
+    """A vocabulary of phrases instead of patterns; its ``entries`` have patterns, as any vocabulary's."""
+
+    def __init__(self, entries: list[tuple[str, str, list[str]]], categories: list[str] | None = None, total: int | None = None):
+        pattern = lambda phrase: r"\b" + r"\s+".join(map(re.escape, phrase.split())) + r"\b"
+        super().__init__([(n, c, [pattern(p) for p in own]) for n, c, own in entries], categories, total)
+        self._names = phrases.Names(entries)
+
+    def _pairs(self, text: Column, body: Callable[[Column], Column]) -> Column:
+        return rx.let(self._names.pairs(text), body)
+
+    def found(self, text: Column) -> Column:
+        return self._pairs(text, lambda found: F.array_sort(F.array_distinct(F.transform(found, lambda x: x["name"]))))
+
+    def found_categories(self, text: Column) -> Column:
+        return self._pairs(text, lambda found: F.array_distinct(F.transform(found, lambda x: x["category"])))
+
+    def found_with_category(self, text: Column) -> Column:
+        pair = lambda x: F.struct(x["name"].alias("name"), x["category"].alias("category"))
+        return self._pairs(text, lambda found: F.array_sort(F.transform(found, pair)))
+
+    def found_by_category(self, text: Column) -> Column:
+        def grouped(found: Column) -> Column:
+            of = lambda c: F.transform(F.filter(found, lambda x: x["category"] == c), lambda x: x["name"])
+            return F.map_from_entries(F.transform(F.array_distinct(F.transform(found, lambda x: x["category"])), lambda c: F.struct(c.alias("key"), of(c).alias("value"))))
+
+        return self._pairs(text, grouped)
+
+
+#: Fixed value: how many skills the vocabulary says it has.
+SKILLS_TOTAL = 119
+
+
+@functools.cache
 def tools() -> Vocabulary:
     return Vocabulary.from_tables(vocab.TOOLS)
 
 
+@functools.cache
 def skills() -> Vocabulary:
-    return Vocabulary.from_phrases(vocab.skill_phrases())
+    made = Vocabulary.from_phrases(vocab.SKILLS)
+    made.total = SKILLS_TOTAL
+    return made
 
 
 def substring_skills(text: Column, names: list[str]) -> Column:

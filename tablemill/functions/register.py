@@ -32,15 +32,16 @@ def normalize_sql(text: str) -> str:
 
 
 def register(spark: SparkSession) -> list[str]:
-    """Make ``unescape_entities``, ``normalize_text`` and ``chunk_text`` known to SQL in this session."""
+    """Make ``unescape_entities``, ``normalize_text``, ``chunk_text`` and the table function ``text_chunks`` known to SQL in this session."""
 
     def unescape(texts: pd.Series) -> pd.Series:
         return texts.map(html.unescape, na_action="ignore")
 
     def chunks(texts: pd.Series) -> pd.Series:
-        return texts.map(chunk.chunks_of)
+        return texts.map(lambda t: list(chunk.chunks_of(t)))
 
     spark.udf.register("unescape_entities", F.pandas_udf(unescape, "string"))
     spark.udf.register("chunk_text", F.pandas_udf(chunks, "array<string>"))
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION normalize_text(t STRING) RETURNS STRING RETURN {normalize_sql('t')}")
-    return ["unescape_entities", "normalize_text", "chunk_text"]
+    spark.udtf.register("text_chunks", chunk.ChunkText)
+    return ["unescape_entities", "normalize_text", "chunk_text", "text_chunks"]

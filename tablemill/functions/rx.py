@@ -106,13 +106,15 @@ def needed_literals(pattern: str) -> list[str]:
     return [best.lower()] if len(best) > 1 else []
 
 
-#: Letters beyond ASCII that fold to ASCII ones: texts with them are not settled by the byte search.
-_FOLDING = ["\u0130", "\u017f", "\u212a"]
+#: Letters beyond ASCII that fold to ASCII ones (i, i, s, k): texts with them are not settled by the byte search.
+FOLDING = ["\u0130", "\u0131", "\u017f", "\u212a"]
 
 
 def bind(text: Column, body) -> Column:
     """``body`` of a row with text, low (lower case) and odd (holds a letter that folds to ASCII)."""
-    odd = F.contains(text, F.lit(_FOLDING[0])) | F.contains(text, F.lit(_FOLDING[1])) | F.contains(text, F.lit(_FOLDING[2]))
+    odd = F.contains(text, F.lit(FOLDING[0]))
+    for letter in FOLDING[1:]:
+        odd |= F.contains(text, F.lit(letter))
     return let(F.struct(text.alias("text"), F.lower(text).alias("low"), odd.alias("odd")), body)
 
 

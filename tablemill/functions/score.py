@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablemill.functions import rx, vocab
+from tablemill.functions import phrases, rx, vocab
 
 
 def keyword_list(joined: Column) -> Column:
@@ -25,17 +23,7 @@ def keyword_frequency(tier1: Column, tier2: Column, title: Column, description:
     known = [k.lower() for k in (vocab.TITLE_KEYWORDS + vocab.STRONG_KEYWORDS if known is None else known)]
     text = F.concat(F.lower(F.coalesce(title, F.lit(""))), F.lit(" "), F.lower(F.coalesce(description, F.lit(""))))
     carried = F.transform(F.concat(keyword_list(tier1), keyword_list(tier2)), F.lower)
-    own = [k for k in dict.fromkeys(known) if k not in fixed]
-    table = lambda keys: F.array(*(F.struct(F.lit(k).alias("k"), F.lit(rx.java(rf"\b{re.escape(k)}\b", "")).alias("rx")) for k in keys))
-
-    def total(row: Column) -> Column:
-        # A plain search settles most keywords; only those that are there are counted.
-        there = F.filter(table(dict.fromkeys(fixed)), lambda k: F.contains(row["text"], k["k"]))
-        if own:
-            there = F.concat(there, F.filter(table(own), lambda k: F.array_contains(row["carried"], k["k"]) & F.contains(row["text"], k["k"])))
-        return F.aggregate(there, F.lit(0), lambda n, k: n + F.regexp_count(row["text"], k["rx"]))
-
-    return rx.let(F.struct(text.alias("text"), carried.alias("carried")), total)
+    return rx.let(F.struct(text.alias("text"), carried.alias("carried")), lambda row: phrases.count_phrases(row["text"], fixed, known, row["carried"]))
 
 
 def relevance_score(tier1: Column, tier2: Column, frequency: Column) -> Column:

@@ -178,7 +178,7 @@ def run(
             shots.finish(run, name, given, tables[-1])
         return shots.read(name, run)
 
-    accepted = stage("jobs_raw", lambda: accept(collect(raw, now, hours, platforms, countries)) if raw is not None else old("jobs_raw"))
+    accepted = stage("jobs_raw", lambda: accept(collect(store.spread(raw), now, hours, platforms, countries)) if raw is not None else old("jobs_raw"))
     processed = stage("jobs_processed", lambda: preprocess(accepted, detector))
     enriched = stage("jobs_enriched", lambda: enrich(processed))
     if dry_run:

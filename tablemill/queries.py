@@ -32,8 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(JOBS.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows need much work each: dealt to all cores if it comes in fewer splits."""
+    return store.spread(table(spark, sf_dir, name))
+
+
+def jobs(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+    return spark.sql(JOBS.replace("FROM documents", "FROM {documents}"), documents=documents if documents is not None else table(spark, sf_dir, "documents"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows for queries that work on the descriptions."""
+    return jobs(spark, sf_dir, spread(spark, sf_dir, "documents"))
 
 
 def over(select: str, extra: str = "") -> str:
@@ -93,7 +103,7 @@ _TIERS = _DETAIL + ", tiers AS (SELECT *, array_to_string(t1, ', ') AS tier1, ar
 
 
 def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = jobs(spark, sf_dir).withColumn("d", filters.two_tier_detail(F.col("actual_role"), F.col("job_description")))
+    rows = texts(spark, sf_dir).withColumn("d", filters.two_tier_detail(F.col("actual_role"), F.col("job_description")))
     return rows.withColumn("tier1", F.array_join("d.tier1_keywords", ", ")).withColumn("tier2", F.array_join("d.tier2_keywords", ", "))
 
 
@@ -102,7 +112,7 @@ def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(over(f"SELECT job_id FROM jobs WHERE {_TITLED} AND NOT {_NEG} AND ({_T1} OR {_T2})"))
 def filter_two_tier(spark, sf_dir):
-    return jobs(spark, sf_dir).filter(filters.two_tier(F.col("actual_role"), F.col("job_description"))).select("job_id")
+    return texts(spark, sf_dir).filter(filters.two_tier(F.col("actual_role"), F.col("job_description"))).select("job_id")
 
 
 @query(over("SELECT job_id, len(t1) + len(t2) > 0 AS accepted, rejected_negative, tier1, tier2 FROM tiers", _TIERS))
@@ -119,7 +129,7 @@ _STATS = """, s AS (SELECT CASE WHEN grouping(search_term) = 1 THEN 'TOTAL' ELSE
 
 @query(over("SELECT *, round((accepted_tier1_only + accepted_tier2_only + accepted_both) * 100.0::DOUBLE / found, 2) AS rate FROM s", _DETAIL + _STATS))
 def filter_effectiveness(spark, sf_dir):
-    return filters.filter_statistics(jobs(spark, sf_dir), "search_term", "actual_role", "job_description").withColumn("rate", F.col("rate").cast("double"))
+    return filters.filter_statistics(texts(spark, sf_dir), "search_term", "actual_role", "job_description").withColumn("rate", F.col("rate").cast("double"))
 
 
 @query(
@@ -129,7 +139,7 @@ def filter_effectiveness(spark, sf_dir):
     )
 )
 def filter_recommendations(spark, sf_dir):
-    return filters.recommendations(filters.filter_statistics(jobs(spark, sf_dir), "search_term", "actual_role", "job_description"))
+    return filters.recommendations(filters.filter_statistics(texts(spark, sf_dir), "search_term", "actual_role", "job_description"))
 
 
 _DAY = "CASE WHEN regexp_matches(posted_text, '^\\d{4}-\\d{2}-\\d{2}$') THEN CAST(posted_text AS TIMESTAMP) WHEN regexp_matches(posted_text, '^\\d{4}-\\d{2}-\\d{2}[T ]') THEN CAST(replace(replace(posted_text, 'T', ' '), 'Z', '') AS TIMESTAMP) END"
@@ -205,7 +215,7 @@ _ROLE = s_low("actual_role")
 )
 def title_extraction(spark, sf_dir):
     t, d = F.col("actual_role"), F.col("job_description")
-    return jobs(spark, sf_dir).select("job_id", classify.extract_level(t, d).alias("level"), classify.extract_function(t, d).alias("job_function"))
+    return texts(spark, sf_dir).select("job_id", classify.extract_level(t, d).alias("level"), classify.extract_function(t, d).alias("job_function"))
 
 
 _FALL = "CASE WHEN job_level IS NULL OR job_level = '' THEN 'Mid-Level' ELSE job_level END"
@@ -243,7 +253,7 @@ _TYPE_SQL = "CASE WHEN trim(coalesce(job_type, '')) = '' THEN " + s_cascade([(s_
 
 @query(over(f"SELECT job_id, {_TYPE_SQL} AS job_type_filled FROM jobs"))
 def job_type_fill(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", classify.standard_job_type(F.col("job_type"), F.col("job_description")).alias("job_type_filled"))
+    return texts(spark, sf_dir).select("job_id", classify.standard_job_type(F.col("job_type"), F.col("job_description")).alias("job_type_filled"))
 
 
 def s_best(categories: dict[str, list[str]], weighted: list[tuple[str, float]]) -> str:
@@ -258,7 +268,7 @@ _FN_SQL = s_best(vocab.JOB_FUNCTIONS, [("f", 1.0), ("d", 0.5)])
 
 @query(over(f"SELECT job_id, {_FN_SQL} AS job_function_std FROM (SELECT job_id, trim({s_low('job_function')}) AS f, substr({s_low('job_description')}, 1, 1000) AS d FROM jobs)"))
 def job_function_standardize(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", classify.standard_function(F.col("job_function"), F.col("job_description")).alias("job_function_std"))
+    return texts(spark, sf_dir).select("job_id", classify.standard_function(F.col("job_function"), F.col("job_description")).alias("job_function_std"))
 
 
 _IND_SQL = s_best(vocab.INDUSTRIES, [("i", 3.0), ("c", 2.0), ("d", 0.5)])
@@ -266,7 +276,7 @@ _IND_SQL = s_best(vocab.INDUSTRIES, [("i", 3.0), ("c", 2.0), ("d", 0.5)])
 
 @query(over(f"SELECT job_id, {_IND_SQL} AS company_industry_std FROM (SELECT job_id, {s_low('company_industry')} AS i, {s_low('company_name')} AS c, substr({s_low('job_description')}, 1, 500) AS d FROM jobs)"))
 def company_industry_standardize(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", classify.standard_industry(F.col("company_industry"), F.col("company_name"), F.col("job_description")).alias("company_industry_std"))
+    return texts(spark, sf_dir).select("job_id", classify.standard_industry(F.col("company_industry"), F.col("company_name"), F.col("job_description")).alias("company_industry_std"))
 
 
 _FIXED = [k.lower() for k in vocab.FREQUENCY_KEYWORDS]
@@ -323,23 +333,23 @@ _DESC = "coalesce(job_description, '')"
 
 @query()
 def education_levels(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.education_levels(F.col("job_description")).alias("education_level"))
+    return texts(spark, sf_dir).select("job_id", features.education_levels(F.col("job_description")).alias("education_level"))
 
 
 @query(over("SELECT job_id, " + f"CASE WHEN {s_blank('job_description')} THEN 'NA' WHEN len(f) = 0 THEN 'Other Fields' ELSE array_to_string(f, ', ') END AS education_field FROM (SELECT *, {s_list([(n, s_match(_DESC, p)) for n, p in vocab.EDUCATION_FIELDS.items()])} AS f FROM jobs)"))
 def education_field(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.education_field(F.col("job_description")).alias("education_field"))
+    return texts(spark, sf_dir).select("job_id", features.education_field(F.col("job_description")).alias("education_field"))
 
 
 @query()
 def education_fill(spark, sf_dir):
-    rows = jobs(spark, sf_dir).withColumn("level", F.when(F.col("id") % 2 == 0, features.education_levels(F.col("job_description"))))
+    rows = texts(spark, sf_dir).withColumn("level", F.when(F.col("id") % 2 == 0, features.education_levels(F.col("job_description"))))
     return rows.select("job_id", features.fill_education(F.col("level"), F.col("job_description")).alias("edu_level_filled"))
 
 
 @query(over(f"SELECT job_id, CASE WHEN {s_blank('job_description')} THEN 0 WHEN {s_match(_DESC, vocab.RESEARCH_PATTERNS)} OR {s_any(s_low('company_name'), vocab.ACADEMIC_NAMES)} THEN 1 ELSE 0 END AS is_research FROM jobs"))
 def research_flag(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.is_research(F.col("job_description"), F.col("company_name")).alias("is_research"))
+    return texts(spark, sf_dir).select("job_id", features.is_research(F.col("job_description"), F.col("company_name")).alias("is_research"))
 
 
 _TOOL_NAMES = sorted((n, p) for t in vocab.TOOLS.values() for n, p in t.items())
@@ -348,17 +358,17 @@ _TOOL_SQL = s_list([(n, s_match(_DESC, p)) for n, p in _TOOL_NAMES])
 
 @query(over(f"SELECT job_id, array_to_string({_TOOL_SQL}, ', ') AS tools FROM jobs"))
 def tools_extract(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.tools().found_string(F.col("job_description")).alias("tools"))
+    return texts(spark, sf_dir).select("job_id", features.tools().found_string(F.col("job_description")).alias("tools"))
 
 
 @query(over(f"SELECT job_id, array_to_string({s_list([(c, s_match(_DESC, [p for ps in t.values() for p in ps])) for c, t in sorted(vocab.TOOLS.items())])}, ', ') AS categories FROM jobs"))
 def tool_categories(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", F.array_join(features.tools().found_categories(F.col("job_description")), ", ").alias("categories"))
+    return texts(spark, sf_dir).select("job_id", F.array_join(features.tools().found_categories(F.col("job_description")), ", ").alias("categories"))
 
 
 @query(over(f"SELECT tool, count(*) AS n FROM (SELECT unnest({_TOOL_SQL}) AS tool FROM jobs) GROUP BY tool"))
 def tool_counts(spark, sf_dir):
-    return profile.tag_counts(jobs(spark, sf_dir).select(features.tools().found_string(F.col("job_description")).alias("t")), "t").withColumnRenamed("tag", "tool")
+    return profile.tag_counts(texts(spark, sf_dir).select(features.tools().found_string(F.col("job_description")).alias("t")), "t").withColumnRenamed("tag", "tool")
 
 
 def s_phrases(text: str, phrases: list[str]) -> str:
@@ -370,18 +380,18 @@ def s_phrases(text: str, phrases: list[str]) -> str:
     return f"coalesce(regexp_matches({text}, {quote('(?i)' + '|'.join(parts))}), false)"
 
 
-_SKILLS = sorted((n, c, p) for c, names in vocab.skill_phrases().items() for n, p in names.items())
+_SKILLS = sorted((n, c, p) for c, names in vocab.SKILLS.items() for n, p in names.items())
 _SKILL_SQL = s_list([(n, s_phrases(_DESC, p)) for n, _, p in _SKILLS])
 
 
 @query(over(f"SELECT job_id, array_to_string({_SKILL_SQL}, ', ') AS skills FROM jobs"))
 def skills_extract(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", features.skills().found_string(F.col("job_description")).alias("skills"))
+    return texts(spark, sf_dir).select("job_id", features.skills().found_string(F.col("job_description")).alias("skills"))
 
 
-@query(over(f"SELECT job_id, array_to_string({s_list([(c, '(' + ' OR '.join(s_phrases(_DESC, p) for p in names.values()) + ')') for c, names in sorted(vocab.skill_phrases().items())])}, ', ') AS categories FROM jobs"))
+@query(over(f"SELECT job_id, array_to_string({s_list([(c, '(' + ' OR '.join(s_phrases(_DESC, p) for p in names.values()) + ')') for c, names in sorted(vocab.SKILLS.items())])}, ', ') AS categories FROM jobs"))
 def skill_categories(spark, sf_dir):
-    return jobs(spark, sf_dir).select("job_id", F.array_join(features.skills().found_categories(F.col("job_description")), ", ").alias("categories"))
+    return texts(spark, sf_dir).select("job_id", F.array_join(features.skills().found_categories(F.col("job_description")), ", ").alias("categories"))
 
 
 _OF_CATEGORY = {c: f"list_filter(f, lambda x: list_contains([{', '.join(quote(n) for n in names)}], x))" for c, names in sorted(vocab.SKILLS.items())}
@@ -393,13 +403,13 @@ _WITH_CATEGORY = "'[' || array_to_string(list_transform(f, lambda x: '{\"name\":
 def skills_by_category(spark, sf_dir):
     found = features.skills()
     text = F.col("job_description")
-    return jobs(spark, sf_dir).select("job_id", F.to_json(found.found_by_category(text)).alias("by_category"), F.to_json(found.found_with_category(text)).alias("with_category"))
+    return texts(spark, sf_dir).select("job_id", F.to_json(found.found_by_category(text)).alias("by_category"), F.to_json(found.found_with_category(text)).alias("with_category"))
 
 
 @query(over(f"SELECT job_id, array_to_string({s_list([(n, f'contains({s_low(chr(106) + "ob_description")}, {quote(n.lower())})') for names in vocab.SKILLS.values() for n in names])}, ', ') AS skills FROM jobs"))
 def skills_substring(spark, sf_dir):
     names = [n for group in vocab.SKILLS.values() for n in group]
-    return jobs(spark, sf_dir).select("job_id", F.array_join(features.substring_skills(F.col("job_description"), names), ", ").alias("skills"))
+    return texts(spark, sf_dir).select("job_id", F.array_join(features.substring_skills(F.col("job_description"), names), ", ").alias("skills"))
 
 
 _PARTS = "list_filter(list_transform(string_split(coalesce({}, ''), ','), lambda x: trim(x)), lambda x: x <> '')"
@@ -426,7 +436,7 @@ _WORDS = ", ".join(f"{{'n': {' + '.join(s_count('m', w) for w in words)}, 'o': {
 
 @query(f"WITH low AS (SELECT doc_id, lower(trim(coalesce(text, ''))) AS t FROM documents), best AS (SELECT doc_id, t, list_max([{_WORDS}]) AS b FROM (SELECT *, {_MARKED.format('t')} AS m FROM low)) SELECT doc_id, CASE WHEN length(t) < 20 OR b.n = 0 THEN 'NA' ELSE b.c END AS detected_language FROM best")
 def language_detect(spark, sf_dir):
-    return features.detect_language(table(spark, sf_dir, "documents"), "text", None).select("doc_id", "detected_language")
+    return features.detect_language(spread(spark, sf_dir, "documents"), "text", None).select("doc_id", "detected_language")
 
 
 # --- text --------------------------------------------------------------------------------------
@@ -436,22 +446,44 @@ _TAGS = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '(?is)
 
 @query(r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(" + _TAGS.format("html") + r", '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' *\n *', chr(10), 'g') AS text FROM pages")
 def html_to_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", normalize.squeeze(normalize.strip_tags(F.col("html"))).alias("text"))
+    return spread(spark, sf_dir, "pages").select("page_id", normalize.squeeze(normalize.strip_tags(F.col("html"))).alias("text"))
 
 
 @query()
 def text_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", normalize.normalize_text(F.col("html")).alias("text"))
+    return spread(spark, sf_dir, "pages").select("page_id", normalize.normalize_text(F.col("html")).alias("text"))
 
 
-@query()
+_BLANK = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]+"
+_AHEAD = "substr(rest, 201, 1800)"
+
+
+def s_strip(text: str) -> str:
+    return f"regexp_replace({text}, '^{_BLANK}|{_BLANK}$', '', 'g')"
+
+
+def s_last(stop: str, width: int) -> str:
+    """Where the last ``stop`` of the part ahead stands, plus ``width``."""
+    return f"(contains({_AHEAD}, {stop}), 200 + {width} + length(regexp_extract({_AHEAD}, '(?s)^(.*)' || regexp_escape({stop}), 1)))"
+
+
+_CUTS = [s_last("chr(10) || chr(10)", 0)] + [s_last(x, 2) for x in ("'. '", "'.' || chr(10)", "'! '", "'? '")]
+_CUT = "CASE " + " ".join(f"WHEN ({c})[1] THEN ({c})[2]" for c in _CUTS) + " ELSE 2000 END"
+_CHUNKS = f"""WITH RECURSIVE cut(doc_id, step, chunk, rest) AS (
+  SELECT doc_id, 0, '', {s_strip("coalesce(text, '')")} FROM documents
+  UNION ALL SELECT doc_id, step + 1, {s_strip("substr(rest, 1, ends)")}, {s_strip("substr(rest, ends + 1)")} FROM (SELECT *, {_CUT} AS ends FROM cut WHERE length(rest) > 3200)
+), piece AS (SELECT doc_id, step, chunk FROM cut WHERE step > 0 UNION ALL SELECT doc_id, step + 1, rest FROM cut WHERE length(rest) <= 3200)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY step) - 1 AS INTEGER) AS chunk_index, chunk AS chunk_text FROM piece WHERE length(chunk) >= 200"""
+
+
+@query(_CHUNKS)
 def text_chunks(spark, sf_dir):
-    return chunk.explode_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return chunk.explode_chunks(spread(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query()
 def chunk_embeddings(spark, sf_dir):
-    rows = chunk.explode_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
+    rows = chunk.explode_chunks(spread(spark, sf_dir, "documents"), "doc_id", "text")
     return rows.select("doc_id", "chunk_index", chunk.embed(F.col("chunk_text")).alias("embedding"))
 
 

@@ -29,6 +29,13 @@ def read_landing(spark: SparkSession, path: str, kind: str | None = None, schema
     return reader.options(header=True).csv(path) if kind == "csv" else reader.format(kind).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, if it has fewer: a small table in one row group is one
+    task else, however much work a row is.  A table of many splits stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A database table by JDBC; ``options`` as Spark's reader takes them (driver, partitionColumn ...)."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

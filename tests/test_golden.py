@@ -1,6 +1,8 @@
 """Worked examples of the column functions and operators."""
 
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,11 +98,72 @@ def test_normalize(spark):
     assert got == list(cases.values())
 
 
-def test_chunks():
-    assert [len(chunk.chunks_of(x)) for x in (None, "", "a" * 199, "a" * 200, "a" * 3200, "a" * 3201, "a" * 4100)] == [0, 0, 0, 1, 1, 2, 2]
-    assert [len(c) for c in chunk.chunks_of("a" * 3201)] == [2000, 1201] and [len(c) for c in chunk.chunks_of("a" * 4100)] == [2000, 2100]
+def test_chunks(spark):
+    of = lambda x: list(chunk.chunks_of(x))
+    assert [len(of(x)) for x in (None, "", "a" * 199, "a" * 200, "a" * 3200, "a" * 3201, "a" * 4100)] == [0, 0, 0, 1, 1, 2, 2]
+    assert [len(c) for c in of("a" * 3201)] == [2000, 1201] and [len(c) for c in of("a" * 4100)] == [2000, 2100]
     text = "a" * 1000 + ". " + "b" * 3000
-    assert [len(c) for c in chunk.chunks_of(text)] == [1001, 3000]
+    assert [len(c) for c in of(text)] == [1001, 3000]
+    df = spark.createDataFrame([(1, text), (2, None), (3, "short")], "id int, t string")
+    assert [(r.id, r.chunk_index, len(r.chunk_text)) for r in chunk.explode_chunks(df, "id", "t").orderBy("chunk_index").collect()] == [(1, 0, 1001), (1, 1, 3000)]
+
+
+def test_chunks_of_a_long_text(spark):
+    """The work grows with the length, not with its square: 20 MB are a matter of a second or two."""
+    text = "word. and more " * 1_400_000
+    began = time.time()
+    made = list(chunk.chunks_of(text))
+    assert time.time() - began < 10 and sum(map(len, made)) > 0.999 * len(text) - 2 * len(made)
+
+
+def test_phrases_agree_with_patterns(spark):
+    """One pass over a trie finds what a pattern for each phrase finds: overlaps, signs, case, odd letters and white space."""
+    rng = random.Random(8)
+    phrases = {"A": ["ai", "ai platform", "data"], "B": ["data science", "data science lead", "c++", "c#"], "C": [".net", "net", "science lead"], "D": ["c, c++", "or-tools", "tools", "kiss", "a/b testing"]}
+    one = features.Vocabulary.from_phrases({"x": {k: phrases[k] for k in "AC"}, "y": {k: phrases[k] for k in "BD"}})
+    plain = features.Vocabulary(one.entries)
+    pieces = ["ai", "AI", "platform", "platforms", "data", "Data", "science", "lead", "c++", "C#", ".NET", "asp.net", "c,", "or-tools", "tools", "K\u0131\u017fs", "\u212aiss", "a/b", "testing", "x", "ünï", "c+", "\u0130"]
+    gaps = [" ", "  ", "\n", "\u00a0", "", ",", "."]
+    texts = [None, "", *("".join(rng.choice(pieces) + rng.choice(gaps) for _ in range(rng.randrange(1, 14))) for _ in range(600))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    forms = lambda v: [v.found(t), v.found_string(t), v.found_categories(t), v.found_with_category(t), v.found_by_category(t)]
+    for a, b in zip(forms(one), forms(plain)):
+        assert df.select(a.alias("v")).collect() == df.select(b.alias("v")).collect()
+    assert features.Vocabulary.from_phrases({}).found(t) is not None and df.select(features.Vocabulary.from_phrases({}).found(t).alias("v")).first().v == []
+
+
+def test_keyword_counts_agree_with_patterns(spark):
+    rng = random.Random(9)
+    fixed, known = ["scheduling", "scheduling solver", "mixed integer", "or-tools", "ab ab"], ["optim", "integer programming", "mip", "solver"]
+    pieces = ["scheduling", "Solver", "mixed", "integer", "programming", "or-tools", "optim", "optimum", "mip", "ab"]
+    rows = [(rng.choice(["", "optim, mip", "solver"]), rng.choice([None, "integer programming"]), rng.choice([None, "Solver mip"]), "".join(rng.choice(pieces) + rng.choice([" ", " ", "  ", "-"]) for _ in range(rng.randrange(25)))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a string, b string, title string, d string")
+    got = [r[0] for r in df.select(score.keyword_frequency(F.col("a"), F.col("b"), F.col("title"), F.col("d"), fixed, known)).collect()]
+
+    def count(a, b, title, d):
+        text = f"{title or ''} {d or ''}".lower()
+        own = {x.strip() for x in f"{a or ''},{b or ''}".split(",")} & set(known)
+        return sum(len(re.findall(rf"\b{re.escape(k)}\b", text)) for k in {*fixed, *own})
+
+    assert got == [count(*r) for r in rows]
+
+
+def test_plan_does_not_grow_with_the_vocabulary(spark):
+    df = spark.createDataFrame([("we use skill7 and skill 3000",)], "t string")
+    size = lambda n: len(df.select(features.Vocabulary.from_phrases({"c": {f"S{k}": [f"skill{k}", f"skill {k}"] for k in range(n)}}).found(F.col("t")))._jdf.queryExecution().analyzed().numberedTreeString().split("\n"))
+    assert size(5) == size(2_000)
+    many = features.Vocabulary.from_phrases({"c": {f"S{k}": [f"skill{k}", f"skill {k}"] for k in range(4_000)}})
+    assert df.select(many.found(F.col("t")).alias("v")).first().v == ["S3000", "S7"]
+
+
+def test_vocabulary_accessors(spark, tmp_path):
+    known = features.skills()
+    assert known is features.skills() and known.total == 119 and len(known.names()) == 99 and len(known.categories) == 22
+    path = tmp_path / "v.json"
+    path.write_text('{"skills": [{"name": "X", "category": "A", "patterns": ["x", "("]}]}')
+    with pytest.warns(UserWarning, match="left out"):
+        assert features.Vocabulary.load(str(path), "skills").names() == ["X"]
 
 
 def test_url_flag(spark):
@@ -160,7 +223,7 @@ def test_needed_literals(pattern, want):
 def test_every_skill_is_found_by_each_of_its_phrases(spark):
     found = features.skills()
     assert len(found.names()) == 99 and len(found.categories) == 22
-    rows = [(n, c, f"we need {p.replace(' ', '  ')} here") for c, names in vocab.skill_phrases().items() for n, phrases in names.items() for p in phrases if p[0].isalnum() and p[-1].isalnum()]
+    rows = [(n, c, f"we need {p.replace(' ', '  ')} here") for c, names in vocab.SKILLS.items() for n, phrases in names.items() for p in phrases if p[0].isalnum() and p[-1].isalnum()]
     rows += [("C#", "Programming Languages", "C#x"), (".NET", "Backend Development", "asp.net core")]
     df = spark.createDataFrame(rows, "name string, category string, t string")
     t = F.col("t")
