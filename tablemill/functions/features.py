@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import phrases, rx, vocab
+from tablemill.functions import languages, phrases, rx, vocab
 
 
 def _labels(text: Column, table: dict[str, list[str]]) -> Column:
@@ -216,16 +216,21 @@ def function_word_language(text: Column) -> Column:
     return rx.let(F.struct(F.split(low, r"(?U)\W+").alias("words"), (F.char_length(low) < 20).alias("short")), decide)
 
 
-def detect_language(df: DataFrame, text_col: str, language_col: str | None = "language", detector: Callable[[str], str] | None = None, into: str = "detected_language", source: DataFrame | None = None) -> DataFrame:
+def detect_language(
+    df: DataFrame, text_col: str, language_col: str | None = "language", detector: Callable[[str], str] | languages.Profiles | None = None, into: str = "detected_language", source: DataFrame | None = None
+) -> DataFrame:
     """A language column that holds any value is used as it is (blank: NA); else the text decides.
 
     Whether it holds any is asked of ``source``, a frame that is cheap to read, if one is given.
-    ``detector`` maps a text to a code and runs in Arrow batches; without one the built-in is used.
+    ``detector`` is learnt n-gram profiles (``languages.learn``), or a function that maps a text to a code and runs in
+    Arrow batches; without one function words decide, which know five languages and need no learning.
     """
     if language_col in df.columns and not (df if source is None else source).filter(F.col(language_col).isNotNull()).isEmpty():
         return df.withColumn(into, F.when(rx.blank(F.col(language_col)), vocab.NA).otherwise(F.col(language_col)))
     if detector is None:
         return df.withColumn(into, function_word_language(F.col(text_col)))
+    if isinstance(detector, languages.Profiles):
+        return df.withColumn(into, languages.detect(F.col(text_col), detector, df.sparkSession))
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:

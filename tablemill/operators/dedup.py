@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablemill.operators import order
+
 
 def keep_first(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
     """The first row of each key by ``order``; rows whose key is null or '' go.
@@ -53,10 +55,18 @@ def flag_shared_urls(df: DataFrame, url_cols: tuple[str, ...] = ("url", "company
 
 def newest_duplicates(df: DataFrame, keys: list[str], id_col: str = "id", newest: int | None = None) -> DataFrame:
     """Ids to delete: among the ``newest`` rows by id (all, if None), those that are not the oldest of
-    their key.  Null keys are one key."""
+    their key.  Null keys are one key.
+
+    Where the newest rows begin is found by counting ids, not by sorting rows into one task, so any number
+    will do.  Ids are unique; rows whose id equals that of the last one are among the newest, rows without
+    an id only if all are.
+    """
     rows = df.select(id_col, *keys)
-    if newest is not None:
-        rows = rows.orderBy(F.desc(id_col)).limit(newest)
+    first = order.newest_from(rows, id_col, newest) if newest is not None and newest > 0 else None
+    if first is not None:
+        rows = rows.filter(F.col(id_col) >= first)
+    elif newest is not None and newest <= 0:
+        rows = rows.limit(0)
     oldest = rows.groupBy(*keys).agg(F.min(id_col).alias("_oldest"))
     same = None
     for k in keys:

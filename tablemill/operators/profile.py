@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablemill.operators import order
+
 
 def _rows(wide: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
     """One row per column from a one-row frame with <name>_<k> columns."""
@@ -67,12 +69,14 @@ FREQUENCY_BUCKETS = [(0, 0), (1, 2), (3, 5), (6, 10), (11, 15), (16, 20), (21, N
 
 
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column, mean (2 places), maximum and exact median."""
+    """column, mean (2 places), maximum and exact median (by counting passes); nulls when a column has no values."""
     aggs = []
     for k, c in enumerate(columns):
         v = F.col(c).cast("double")
-        aggs += [F.round(F.avg(v), 2).alias(f"mean_{k}"), F.max(v).alias(f"maximum_{k}"), F.median(v).alias(f"median_{k}")]
-    return _rows(df.agg(*aggs), columns, ["mean", "maximum", "median"])
+        aggs += [F.round(F.avg(v), 2).alias(f"mean_{k}"), F.max(v).alias(f"maximum_{k}")]
+    medians = order.quantiles(df, columns)
+    wide = df.agg(*aggs).withColumns({f"median_{k}": F.lit(medians[c]).cast("double") for k, c in enumerate(columns)})
+    return _rows(wide, columns, ["mean", "maximum", "median"])
 
 
 def reduction_percent(before: Column, after: Column) -> Column:
@@ -106,3 +110,38 @@ def changed_rows(before: DataFrame, after: DataFrame, key: str, columns: Sequenc
     both = x.join(y, F.col(f"x.{key}") == F.col(f"y.{key}"))
     wide = both.agg(*(F.count_if(~F.col(f"x.{a}").eqNullSafe(F.col(f"y.{b}"))).alias(f"n_changed_{k}") for k, (a, b) in enumerate(columns)))
     return _rows(wide, [b for _, b in columns], ["n_changed"])
+
+
+def compare(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """keys, change, n_before, n_after of the keys whose rows differ between two versions of a table.
+
+    change is added, removed or changed.  Rows are told by two hashes of ``columns`` (default: all that both have), and only
+    these travel: one aggregate over both versions sums them by key and version, so repeated keys are compared
+    as bags of rows, null keys as one key, and a key on very many rows is summed before it is shuffled.
+    """
+    columns = [c for c in before.columns if c in after.columns and c not in keys] if columns is None else list(columns)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        # A null is told from a text, and one column's text from the next one's.
+        row = [F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string")) for c in columns] or [F.lit(0)]
+        digest = F.sha2(F.to_json(F.struct(*(r.alias(f"c{k}") for k, r in enumerate(row)))), 256)
+        part = lambda at: F.conv(F.substr(digest, F.lit(at), F.lit(13)), 16, 10).cast("decimal(38,0)")
+        return df.select(*keys, F.lit(sign).alias("_sign"), part(1).alias("_one"), part(14).alias("_two"))
+
+    both = side(before, 1).unionByName(side(after, -1))
+    sums = both.groupBy(*keys).agg(
+        F.count_if(F.col("_sign") > 0).alias("n_before"), F.count_if(F.col("_sign") < 0).alias("n_after"),
+        *((F.sum(F.col(c) * F.col("_sign")) != 0).alias(c) for c in ("_one", "_two")),
+    )
+    change = F.when(F.col("n_before") == 0, "added").when(F.col("n_after") == 0, "removed").when((F.col("n_before") != F.col("n_after")) | F.col("_one") | F.col("_two"), "changed")
+    return sums.withColumn("change", change).filter("change is not null").select(*keys, "change", "n_before", "n_after")
+
+
+def fixed_sample(df: DataFrame, key: str, positions: Sequence[int]) -> DataFrame:
+    """position and row of the rows at the given places in the order of ``key`` (unique; nulls are not counted)."""
+    wanted = sorted(set(positions))
+    found = order.select_ranks(df.select(key), {key: wanted})[key]
+    at = [(p, v) for p, v in zip(wanted, found) if v is not None]
+    kind = df.schema[key].dataType.simpleString()
+    places = df.sparkSession.createDataFrame(at, f"position int, `{key}` {kind}")  # one row a position
+    return df.join(F.broadcast(places), key).select("position", *df.columns)

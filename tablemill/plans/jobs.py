@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import chunk, classify, features, normalize, score
+from tablemill.functions import chunk, classify, features, languages, normalize, score
 from tablemill.operators import dedup, filters
 from tablemill.sources import store
 
@@ -55,7 +55,7 @@ def accept(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     return dedup.first_by_url(rows, ["scraped_at", "job_id"], seen, ("url",))
 
 
-def preprocess(raw: DataFrame, detector: Callable[[str], str] | None = None) -> DataFrame:
+def preprocess(raw: DataFrame, detector: Callable[[str], str] | languages.Profiles | None = None) -> DataFrame:
     """Dates, URL flag, clean text, language, education, research flag, level."""
     rows = filters.assign_dates(raw, "posted_date", F.col("scraped_at"))
     rows = dedup.flag_shared_urls(rows)
@@ -149,7 +149,7 @@ def fingerprint(df: DataFrame, *more) -> str:
 
 def run(
     spark: SparkSession, raw: DataFrame | None, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None, hours: int | None = None,
-    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | None = None, resume: bool = False,
+    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | languages.Profiles | None = None, resume: bool = False,
 ) -> dict:
     """All stages, each a snapshot; any failure before publishing leaves the last run in place.
 

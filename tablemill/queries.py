@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import chunk, classify, features, normalize, rx, score, vocab
+from tablemill.functions import chunk, classify, features, languages, normalize, rx, score, vocab
 from tablemill.operators import dedup, filters, profile, retention
 from tablemill.plans import jobs as plan
 from tablemill.sources import store
@@ -439,6 +439,37 @@ def language_detect(spark, sf_dir):
     return features.detect_language(spread(spark, sf_dir, "documents"), "text", None).select("doc_id", "detected_language")
 
 
+def s_grams(source: str) -> str:
+    """Tables word(key, w, n) and gram(key, gram, n) of the texts of ``source`` (key, t: lower case)."""
+    return f"""word AS (
+  SELECT key, '_' || w || '_' AS w, count(*) AS n FROM (SELECT key, unnest(regexp_extract_all(t, '\\p{{L}}+')) AS w FROM {source}) GROUP BY ALL
+), gram AS (
+  SELECT key, gram, sum(n)::BIGINT AS n FROM (SELECT key, n, substr(w, place, size) AS gram FROM (SELECT key, w, n, size, unnest(range(1, length(w) - size + 2)) AS place FROM word, (VALUES (1), (2), (3)) AS s(size)))
+  WHERE gram <> '_' GROUP BY ALL
+), ranked AS (SELECT key, gram, row_number() OVER (PARTITION BY key ORDER BY n DESC, gram) AS rank FROM gram QUALIFY rank <= 300)"""
+
+
+_PROFILES = "profiled AS (WITH labelled AS (SELECT lang AS key, lower(coalesce(text, '')) AS t FROM documents WHERE lang IS NOT NULL), " + s_grams("labelled") + " SELECT key AS lang, gram, rank FROM ranked)"
+
+
+@query("WITH " + _PROFILES + " SELECT lang, gram, CAST(rank AS INTEGER) AS rank FROM profiled")
+def language_profiles(spark, sf_dir):
+    return languages.learn(spread(spark, sf_dir, "documents"))
+
+
+@query(
+    "WITH " + _PROFILES + ", own AS (SELECT doc_id AS key, trim(lower(coalesce(text, ''))) AS t FROM documents WHERE length(trim(coalesce(text, ''))) >= 20), "
+    + s_grams("own")
+    + """, apart AS (
+  SELECT key, l.lang, sum(coalesce(abs(r.rank - p.rank), 300)) AS d FROM ranked r CROSS JOIN (SELECT DISTINCT lang FROM profiled) l LEFT JOIN profiled p ON p.lang = l.lang AND p.gram = r.gram GROUP BY ALL
+), best AS (SELECT key, first(lang ORDER BY d, lang) AS lang FROM apart GROUP BY key)
+SELECT doc_id, coalesce(best.lang, 'NA') AS detected_language FROM documents LEFT JOIN best ON best.key = doc_id"""
+)
+def language_detect_profiles(spark, sf_dir):
+    known = languages.Profiles(languages.learn(spread(spark, sf_dir, "documents")))
+    return features.detect_language(spread(spark, sf_dir, "documents"), "text", None, known).select("doc_id", "detected_language")
+
+
 # --- text --------------------------------------------------------------------------------------
 
 _TAGS = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?i)<(br|p|div|h[1-6]|li|tr)[^>]*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')"
@@ -616,6 +647,25 @@ def changed_values(spark, sf_dir):
     return profile.changed_rows(before, after, "job_id", [("job_level", "level")])
 
 
+_AFTER = "SELECT job_id, country, CASE WHEN job_level IS NULL OR job_level IN ('', 'unknown', 'Unknown') THEN 'NA' ELSE job_level END AS job_level FROM jobs WHERE id % 10 <> 4"
+
+
+@query(
+    over(
+        f"SELECT coalesce(b.job_id, a.job_id) AS job_id, CASE WHEN b.job_id IS NULL THEN 'added' WHEN a.job_id IS NULL THEN 'removed' ELSE 'changed' END AS change, CAST(b.job_id IS NOT NULL AS BIGINT) AS n_before, CAST(a.job_id IS NOT NULL AS BIGINT) AS n_after FROM (SELECT * FROM jobs WHERE id % 10 <> 3) b FULL JOIN ({_AFTER}) a ON a.job_id = b.job_id WHERE b.job_id IS NULL OR a.job_id IS NULL OR a.job_level IS DISTINCT FROM b.job_level OR a.country IS DISTINCT FROM b.country"
+    )
+)
+def snapshot_changes(spark, sf_dir):
+    rows = jobs(spark, sf_dir).select("id", "job_id", "country", "job_level")
+    after = filters.standard_na(rows.filter("id % 10 <> 4"), ["job_level"])
+    return profile.compare(rows.filter("id % 10 <> 3").drop("id"), after.drop("id"), ["job_id"])
+
+
+@query("SELECT position, doc_id, lang, n_chars FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) WHERE position IN (0, 100, 200, 300, 400)")
+def fixed_sample(spark, sf_dir):
+    return profile.fixed_sample(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id", [0, 100, 200, 300, 400])
+
+
 @query("SELECT 'n_chars' AS \"column\", round(avg(n_chars), 2) AS mean, max(n_chars)::DOUBLE AS maximum, median(n_chars)::DOUBLE AS median FROM documents")
 def length_summary(spark, sf_dir):
     return profile.summary(table(spark, sf_dir, "documents"), ["n_chars"])
