@@ -2,8 +2,10 @@
 
 A shard is a run of documents in one task.  Its suffix array holds the word positions at which a
 match can begin (the next words are the beginning of some benchmark window), sorted by the words
-that follow, as far as a window reaches.  Every benchmark suffix is binary-searched in it; matches
-on one diagonal join into the longest verbatim match and its place.  Nothing is shuffled: documents
+that follow, as far as a window reaches.  Every distinct beginning of a benchmark suffix is binary-searched
+in it.  How far a match goes on beyond the window is found among the benchmark's whole suffixes, which are sorted too:
+the longest is beside the place where the document's own suffix would stand.  So the work goes by the places found
+and not by the pairs of a place with each item that has the same words.  Nothing is shuffled: documents
 are read once for each block of the benchmark, and a block holds at most ``BLOCK_BYTES`` of text,
 so what is broadcast is bounded whatever the benchmark's size.
 """
@@ -21,7 +23,7 @@ from tablemill.llm import textbuf
 from tablemill.llm.scratch import short_batches, small_or_shuffled, store
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 RUN_BYTES = 1 << 20
 _HEAD = 3
 
@@ -46,15 +48,113 @@ class _Index:
         self.head = int(min(_HEAD, self.length.min())) if len(self.length) else _HEAD
         place = first[:-1][self.item] + self.offset
         keys = _keys(number, place, place + self.length, window)
-        order = np.argsort(keys, kind="stable")
-        # Equal suffixes are searched once; their places are listed together.
+        order = np.lexsort((_suffix_ranks(number, first)[place], keys))
+        # Equal beginnings are searched once; the suffixes that have them stand together, in their own order.
         self.key, begin = np.unique(keys[order], return_index=True)
         self.begin = np.append(begin, len(order))
-        self.item, self.offset, self.length = self.item[order], self.offset[order], self.length[order]
+        self.item, self.offset, self.length, self.place = self.item[order], self.offset[order], self.length[order], place[order]
+        self.stop = first[1:][self.item]
         self.key_length = self.length[begin]
+        own = np.unique(np.repeat(np.arange(len(self.key)), np.diff(self.begin)) * max(len(items), 1) + self.item)
+        self.items_of = own % max(len(items), 1)
+        self.items_begin = np.searchsorted(own, np.arange(len(self.key) + 1) * max(len(items), 1))
+        self.prefix = _prefixes(number)
+        self.number = number
         self.heads = np.unique(_heads(number, place, self.head, len(self.vocabulary) + 1)) if len(place) else np.zeros(0, np.int64)
 
 
+def _suffix_ranks(number: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The place of each word's suffix (as far as its item goes) among all, by prefix doubling; equal suffixes share one."""
+    last = np.repeat(first[1:], np.diff(first))
+    rank, wide, here = number.copy(), 1, np.arange(len(number))
+    longest = int(np.diff(first).max(initial=0))
+    while wide < longest:
+        ahead = here + wide
+        follow = np.where(ahead < last, rank[np.minimum(ahead, max(len(rank) - 1, 0))] + 1, 0) if len(rank) else rank
+        rank = np.unique(rank * (int(follow.max(initial=0)) + 1) + follow, return_inverse=True)[1].ravel().astype(np.int64)
+        wide *= 2
+    return rank
+
+
+_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _prefixes(number: np.ndarray) -> np.ndarray:
+    """Running hashes, by which any two stretches of words are compared at once."""
+    weight = _powers(len(number))
+    out = np.zeros(len(number) + 1, dtype=np.uint64)
+    # Read from the end, a stretch's hash is a difference times a power; the power is made equal when two are compared.
+    np.cumsum(textbuf.mix64(number.astype(np.uint64)) * weight[: len(number)], out=out[1:])
+    return out
+
+
+def _powers(n: int) -> np.ndarray:
+    steps = np.full(n + 1, _BASE, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+class _Reach:
+    """How far a shard's words agree with the benchmark's."""
+
+    def __init__(self, index: _Index, number: np.ndarray, last: np.ndarray):
+        self.index, self.number, self.last = index, number, last
+        self.prefix = _prefixes(number)
+        self.power = _powers(max(len(number), len(index.number)))
+
+    def same(self, at: np.ndarray, entry: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The ``size`` words from ``at`` are those from the entry's place."""
+        own, place = self.prefix, self.index.place[entry]
+        a = (own[at + size] - own[at]) * self.power[place]
+        b = (self.index.prefix[place + size] - self.index.prefix[place]) * self.power[at]
+        return a == b
+
+    def agreed(self, at: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Words on which both agree, by bisection."""
+        low = np.zeros(len(at), dtype=np.int64)
+        high = np.minimum(self.last[at] - at, self.index.stop[entry] - self.index.place[entry])
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            good = self.same(at, entry, middle)
+            low, high = np.where(good, middle, low), np.where(good, high, middle - 1)
+        return low
+
+    def farthest(self, at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words, entry): the longest agreement from ``at`` with a suffix that has the beginning ``key``."""
+        index = self.index
+        low, high = index.begin[key], index.begin[key + 1]
+        best, which = np.zeros(len(at), dtype=np.int64), low.copy()
+        while (open_ := np.flatnonzero(low < high)).size:
+            middle = (low[open_] + high[open_]) // 2
+            words = self.agreed(at[open_], middle)
+            better = words > best[open_]
+            best[open_[better]], which[open_[better]] = words[better], middle[better]
+            # What follows the agreement tells on which side the document's suffix stands; an end comes first.
+            mine, its = at[open_] + words, index.place[middle] + words
+            next_ = lambda numbers, k, stop: np.where(k < stop, numbers[np.minimum(k, max(len(numbers) - 1, 0))], -1)
+            after = next_(self.number, mine, self.last[at[open_]]) > next_(index.number, its, index.stop[middle])
+            low[open_[after]], high[open_[~after]] = middle[after] + 1, middle[~after]
+        return best, which
+
+    def first_entry(self, at: int, key: int, which: int, size: int) -> int:
+        """Of the entries that agree on ``size`` words, the first in the benchmark."""
+        index = self.index
+
+        def agrees(entry: int) -> bool:
+            return index.stop[entry] - index.place[entry] >= size and bool(self.same(np.array([at]), np.array([entry]), np.array([size]))[0])
+
+        low, high = int(index.begin[key]), which
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if agrees(middle) else (middle + 1, high)
+        begin, low, high = low, which, int(index.begin[key + 1]) - 1
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if agrees(middle) else (low, middle - 1)
+        own = np.arange(begin, low + 1)
+        return int(own[np.lexsort((index.offset[own], index.item[own]))[0]])
+
+
 def _keys(number: np.ndarray, start: np.ndarray, stop: np.ndarray, window: int) -> np.ndarray:
     """Byte strings that sort like the words number[start:stop]; four bytes a word, the last never zero."""
     grid = start[:, None] + np.arange(window)
@@ -71,8 +171,7 @@ def _heads(number: np.ndarray, place: np.ndarray, head: int, base: int) -> np.nd
 
 
 def _matches(index: _Index, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position, entry): every occurrence in the shard of every benchmark suffix, as word position
-    and entry of ``index.item`` and ``index.offset``."""
+    """(position, key): every place in the shard where a benchmark suffix's beginning stands."""
     none = np.zeros(0, np.int64)
     n = len(number) - index.head + 1
     if n <= 0 or not len(index.key):
@@ -99,26 +198,28 @@ def _matches(index: _Index, number: np.ndarray, first: np.ndarray) -> tuple[np.n
     high = np.searchsorted(array, np.ascontiguousarray(top).view(index.key.dtype).ravel(), side="right")
     key = np.repeat(np.arange(len(index.key)), high - low)
     position = place[np.repeat(low - np.cumsum(high - low) + (high - low), high - low) + np.arange(len(key))]
-    entries = np.diff(index.begin)[key]
-    entry = np.repeat(index.begin[key] - np.cumsum(entries) + entries, entries) + np.arange(entries.sum())
-    return np.repeat(position, entries), entry
+    return position, key
 
 
-def _longest(index: _Index, position: np.ndarray, entry: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, ...]:
+def _longest(index: _Index, number: np.ndarray, first: np.ndarray, position: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each document, the words, document position, item and item position of its longest match."""
-    item, offset, length = index.item[entry], index.offset[entry], index.length[entry]
-    order = np.lexsort((position, position - offset, item, doc))
-    item, offset, length, position, doc = item[order], offset[order], length[order], position[order], doc[order]
-    joins = np.zeros(len(order), dtype=bool)
-    joins[1:] = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1]) & (np.diff(position) == 1) & (np.diff(offset) == 1)
-    begin = np.flatnonzero(~joins)
-    size = np.diff(np.append(begin, len(order))) - 1 + length[begin]
-    pick = np.lexsort((offset[begin], item[begin], position[begin], -size, doc[begin]))
-    owner, at = np.unique(doc[begin][pick], return_index=True)
+    docs = len(first) - 1
     out = [np.full(docs, v, dtype=np.int64) for v in (0, -1, -1, -1)]
-    best = pick[at]
-    for column, values in zip(out, (size, position[begin], item[begin], offset[begin])):
-        column[owner] = values[best]
+    if not len(position):
+        return tuple(out)
+    reach = _Reach(index, number, np.repeat(first[1:], np.diff(first)))
+    whole = index.key_length[key] == index.window
+    size, entry = index.key_length[key].copy(), index.begin[key].copy()
+    size[whole], entry[whole] = reach.farthest(position[whole], key[whole])
+    doc = np.searchsorted(first, position, side="right") - 1
+    pick = np.lexsort((position, -size, doc))
+    owner, at = np.unique(doc[pick], return_index=True)
+    for d, k in zip(owner.tolist(), pick[at].tolist()):
+        # A text may hold a short item and the beginning of a longer one at one place: all keys there count.
+        level = np.flatnonzero((position == position[k]) & (size == size[k])) if (position == position[k]).sum() > 1 else [k]
+        found = [reach.first_entry(int(position[j]), int(key[j]), int(entry[j]), int(size[j])) for j in level]
+        best = min(found, key=lambda e: (index.item[e], index.offset[e]))
+        out[0][d], out[1][d], out[2][d], out[3][d] = size[k], position[k], index.item[best], index.offset[best]
     return tuple(out)
 
 
@@ -134,12 +235,12 @@ def _scanner(shared):
                 number = np.searchsorted(index.vocabulary, hashes)
                 number[number == len(index.vocabulary)] = 0
                 number = np.where(index.vocabulary[number] == hashes, number + 1, 0) if len(index.vocabulary) else np.zeros(len(hashes), np.int64)
-                position, entry = _matches(index, number, first)
+                position, key = _matches(index, number, first)
                 docs = run.num_rows
                 doc = np.searchsorted(first, position, side="right") - 1
                 covered = np.zeros(len(number) + 1, dtype=np.int64)
                 np.add.at(covered, position, 1)
-                np.add.at(covered, position + index.length[entry], -1)
+                np.add.at(covered, position + index.key_length[key], -1)
                 old = run.column(2)
                 for d, spans in enumerate(old.to_pylist()):
                     for a, b in zip(spans[::2], spans[1::2]):
@@ -157,9 +258,10 @@ def _scanner(shared):
                 bound = np.searchsorted(owner, np.arange(docs + 1)) * 2
                 spans = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(flat))
                 items: list[set] = [set(x) for x in run.column(3).to_pylist()]
-                for pair in np.unique(doc * len(index.names) + index.item[entry]).tolist():
-                    items[pair // len(index.names)].add(index.names[pair % len(index.names)])
-                size, where, item, offset = _longest(index, position, entry, doc, docs)
+                own = np.unique(doc * max(len(index.key), 1) + key)  # each beginning once for each document
+                for d, k in zip((own // max(len(index.key), 1)).tolist(), (own % max(len(index.key), 1)).tolist()):
+                    items[d].update(index.names[i] for i in index.items_of[index.items_begin[k] : index.items_begin[k + 1]].tolist())
+                size, where, item, offset = _longest(index, number, first, position, key)
                 before = np.asarray(run.column(4))
                 better = size > before
                 name = pa.array([index.names[i] if i >= 0 else None for i in item.tolist()], pa.string())

@@ -22,9 +22,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tablemill.functions.rx import let
+from tablemill.llm.numbering import numbered
 from tablemill.llm.scratch import small_or_shuffled, store
 
 ARITY = 3
@@ -44,20 +44,6 @@ def leaf_hash(fields: list[Column]) -> Column:
     return digest(F.concat(*(F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts)))
 
 
-def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with position (from 0, by ``order``, within its tree) and leaves (of its tree)."""
-    spread = rows.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
-    # Partition and place in it, as one number; stored, so that it stays what it is.
-    ordered = store(spread.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)), "ordered")
-    earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ordered.groupBy("tree", "part").agg(F.min("at").alias("first"), F.count("*").alias("n")).select(
-        "tree", "part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy("tree")).alias("leaves")
-    )
-    # One row for each group and partition that meet.
-    found = ordered.join(small_or_shuffled(store(parts, "parts")), ["tree", "part"])
-    return found.withColumn("position", F.col("at") - F.col("first") + F.col("before")).drop("at", "part", "first", "before")
-
-
 def _levels(children: Column, leaves: Column, base: int) -> Column:
     """(hashes, preimages): what is left of a block's ``children`` after its levels, and each level's preimages.
     A level exists while the whole tree has more than one node below it."""
@@ -142,9 +128,9 @@ class Manifest:
             value(id_col).alias("id"), leaf_hash([value(c) for c in fields]).alias("hash"), leaf_hash([(seen or value)(c) for c in fields]).alias("found"),
         )
         self.id_col = id_col
-        self._blocks, self.group_roots = _forest(_numbered(store(rows, "leaves"), ["id", "hash", "found"]), ["id", "found"])
+        self._blocks, self.group_roots = _forest(numbered(store(rows, "leaves"), ["id", "hash", "found"]), ["id", "found"])
         groups = self.group_roots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "hash")
-        self._top, self.root = _forest(_numbered(groups, ["group"]), ["group"])
+        self._top, self.root = _forest(numbered(groups, ["group"]), ["group"])
 
     def preimages(self) -> DataFrame:
         """group (null: the tree of the groups' roots; ``=`` and the name, or empty for rows without one), level (from 1), place, preimage, hash."""
