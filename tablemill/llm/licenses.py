@@ -1,17 +1,22 @@
 """Licence scan: stretches of a text against licence templates by the Dice coefficient of word bigrams.
 
 All in column expressions.  A text is normalised (ASCII letters lower, everything but digits,
-letters and characters beyond ASCII to one space), so line breaks do not matter.  For each template
-the places where its bigrams stand are strung together while no more than a few other bigrams lie
-between; such a stretch is compared with the template only if the sizes allow the wanted
-coefficient: with |A| and |B| bigrams, Dice can reach t only if t / (2 - t) <= |A| / |B| <= (2 - t) / t.
+letters and characters beyond ASCII to one space), so line breaks do not matter.  With |A| and |B|
+bigrams, Dice can reach t only if t / (2 - t) <= |A| / |B| <= (2 - t) / t, so a text needs a least
+number of a template's bigrams.  Two tests follow that lose nothing: each template gets a few words without which
+that number cannot be reached, for a byte search; then the bigrams that text and template share are counted.
+For each template left the places where its bigrams stand are strung together while no more than a few
+other bigrams lie between, and the stretches whose size allows the coefficient are compared.
 So a notice within a line, a wrapped one and a whole licence in a longer file are found alike.
+Templates are one constant table, so the plan does not grow with them.
 Nothing is exploded or shuffled; a row is scanned where it is, in time that grows with its length.
 """
 
 from __future__ import annotations
 
+import json
 from fractions import Fraction
+from itertools import combinations
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
@@ -88,9 +93,6 @@ any damages arising from the use of this software. Permission is granted to anyo
 commercial applications, and to alter it and redistribute it freely."""),
 ]
 
-#: Every template holds one of these; texts without any (in whatever case) are not scanned.
-MARKS = ["licens", "licenc", "permi", "warrant", "unencumbered"]
-
 _GAP = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -122,16 +124,52 @@ def known_templates(templates: list[tuple[str, str]] | None = None) -> list[tupl
     return [(name, grams) for name, text in (templates if templates is not None else NOTICES + TEXTS) if (grams := bigrams(text))]
 
 
-def _stretches(grams: Column, own: list[str], dice: float) -> Column:
+def least_shared(size: int, dice: float) -> int:
+    """The fewest bigrams of a template of ``size`` that a stretch reaching ``dice`` holds."""
+    return ceil(Fraction(str(dice)) * (bounds(size, dice)[0] + size) / 2)
+
+
+#: Words that most English texts hold, so that they sort out little.
+_COMMON = frozenset("a an and any are as at be by for from in is it may no not of on or that the this to under was with you".split())
+
+
+def marks(grams: list[str], dice: float) -> list[str]:
+    """Words of which a text must hold one to reach ``dice``: too few of the ``grams`` are without them.
+    Any such words are right; long and uncommon ones sort out more."""
+    spare = least_shared(len(grams), dice) - 1  # so many bigrams may do without a mark
+    cost = lambda w: 8.0 ** -len(w) * (100 if w in _COMMON else 1)
+    left = lambda chosen: sum(not set(g.split()) & set(chosen) for g in grams)
+    words = sorted({w for g in grams for w in g.split()}, key=lambda w: (cost(w), w))
+    if len(words) <= 12:
+        some = (c for n in range(1, len(words) + 1) for c in combinations(words, n) if left(c) <= spare)
+        return sorted(min(some, key=lambda c: (sum(map(cost, c)), c)))
+    chosen: list[str] = []
+    weight = lambda w: 50 if w in _COMMON else 5 if len(w) < 5 else 1
+    while (now := left(chosen)) > spare:
+        chosen.append(max((w for w in words if w not in chosen), key=lambda w: ((now - left([*chosen, w])) / weight(w), w)))
+    return sorted(chosen)
+
+
+_TEMPLATE = "struct<license:string,own:array<string>,size:int,room:int,least:int,low:int,high:int,marks:array<string>>"
+
+
+def template_table(known: list[tuple[str, list[str]]], dice: float) -> Column:
+    """The templates as one constant array."""
+    rows = []
+    for name, own in known:
+        low, high = bounds(len(own), dice)
+        rows.append({"license": name, "own": own, "size": len(own), "room": slack(len(own)) + 1, "least": least_shared(len(own), dice), "low": low, "high": high, "marks": marks(own, dice)})
+    return F.from_json(F.lit(json.dumps(rows)), f"array<{_TEMPLATE}>")
+
+
+def _stretches(grams: Column, shared: Column, t: Column) -> Column:
     """(first, last) of the stretches of a template's bigrams that are not too short."""
-    room = slack(len(own)) + 1
-    least, _ = bounds(len(own), dice)
-    places = F.filter(F.transform(grams, lambda g, i: F.when(g.isin(own), i)), lambda i: i.isNotNull())
+    places = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(shared, g), i)), lambda i: i.isNotNull())
 
     def strung(p: Column) -> Column:
-        starts = F.filter(p, lambda x, k: (k == 0) | (x - F.element_at(p, F.greatest(k, F.lit(1))) > room))
-        ends = F.filter(p, lambda x, k: (k == F.size(p) - 1) | (F.coalesce(F.try_element_at(p, k + 2), x) - x > room))
-        return F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("first"), b.alias("last"))), lambda s: s["last"] - s["first"] + 1 >= least)
+        starts = F.filter(p, lambda x, k: (k == 0) | (x - F.element_at(p, F.greatest(k, F.lit(1))) > t["room"]))
+        ends = F.filter(p, lambda x, k: (k == F.size(p) - 1) | (F.coalesce(F.try_element_at(p, k + 2), x) - x > t["room"]))
+        return F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("first"), b.alias("last"))), lambda s: s["last"] - s["first"] + 1 >= t["low"])
 
     return let(places, strung)
 
@@ -142,32 +180,38 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice:
     word counts from 0 and tells where in the text the stretch begins; of stretches that begin at one
     word the closest counts, of equally close ones the first licence by name, and a stretch within an
     earlier one does not count.  Templates of fewer than two words never match.  Null and
-    empty texts, and texts without any of ``MARKS``, have no matches; whole texts are scanned, whatever
+    empty texts have no matches; whole texts are scanned, whatever
     their length; an empty table gives no rows.  Rows that repeat an id are rows of their own.  Other
     columns are ignored.
     """
     known = known_templates(templates)
+    found_type = "array<struct<word:int,away:double,license:string,last:int>>"
     empty = F.array().cast("array<struct<word:int,license:string,dice:double>>")
     if not known:
         return docs.select(id_col, empty.alias("matches"))
+    table = template_table(known, dice)
+    words_asked = F.lit(sorted({m for _, own in known for m in marks(own, dice)}))
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER)
 
-    def compared(grams: Column, name: str, own: list[str]) -> Column:
-        low, high = bounds(len(own), dice)
-
+    def compared(grams: Column, t: Column) -> Column:
         def judge(s: Column) -> Column:
             def measured(part: Column) -> Column:
-                shared = F.size(F.filter(part, lambda g: g.isin(own)))
-                value = F.when(F.size(part).between(low, high), (2.0 * shared) / (F.size(part) + len(own))).otherwise(0.0)
-                return F.struct(s["first"].alias("word"), (-value).alias("away"), F.lit(name).alias("license"), s["last"].alias("last"))
+                shared = F.size(F.array_intersect(part, t["own"]))
+                value = F.when(F.size(part).between(t["low"], t["high"]), (2.0 * shared) / (F.size(part) + t["size"])).otherwise(0.0)
+                return F.struct(s["first"].alias("word"), (-value).alias("away"), t["license"].alias("license"), s["last"].alias("last"))
 
             return let(F.array_distinct(F.slice(grams, s["first"] + 1, s["last"] - s["first"] + 1)), measured)
 
-        return F.filter(F.transform(_stretches(grams, own, dice), judge), lambda m: -m["away"] >= dice)
+        def enough(shared: Column) -> Column:
+            near = F.filter(F.transform(_stretches(grams, shared, t), judge), lambda m: -m["away"] >= dice)
+            return F.when(F.size(shared) >= t["least"], near).otherwise(F.array().cast(found_type))
 
-    def searched(words: Column) -> Column:
+        return let(F.array_intersect(t["own"], grams), enough)
+
+    def searched(words: Column, there: Column) -> Column:
         pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
-        return let(pairs, lambda grams: F.array_sort(F.concat(*(compared(grams, name, own) for name, own in known))))
+        possible = F.filter(table, lambda t: F.arrays_overlap(t["marks"], there))
+        return let(pairs, lambda grams: F.array_sort(F.flatten(F.transform(possible, lambda t: compared(grams, t)))))
 
     def best(found: Column) -> Column:
         # Sorted by word, falling dice and licence: the first of those that begin at one word, if it reaches beyond all earlier ones.
@@ -180,11 +224,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice:
         return F.transform(let(one, outer), lambda m: F.struct(m["word"], m["license"], (-m["away"]).alias("dice")))
 
     def marked(low: Column) -> Column:
-        some = F.contains(low, F.lit(MARKS[0]))
-        for m in MARKS[1:]:
-            some |= F.contains(low, F.lit(m))
-        words = F.filter(F.split(low, _GAP), lambda w: w != "")
-        return F.when(some, let(words, lambda w: F.when(F.size(w) > 1, let(searched(w), best)).otherwise(empty))).otherwise(empty)
+        def split(there: Column) -> Column:
+            words = F.filter(F.split(low, _GAP), lambda w: w != "")
+            return F.when(F.size(there) > 0, let(words, lambda w: F.when(F.size(w) > 1, let(searched(w, there), best)).otherwise(empty))).otherwise(empty)
+
+        return let(F.filter(words_asked, lambda m: F.contains(low, m)), split)
 
     return docs.select(F.col(id_col), let(text, marked).alias("matches"))
 

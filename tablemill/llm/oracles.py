@@ -58,16 +58,15 @@ FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id) L
 """
 
 
-def op3_sql(templates: list[tuple[str, list[str]]], marks: list[str], dice: float, slack) -> str:
+def op3_sql(templates: list[tuple[str, list[str]]], dice: float, slack) -> str:
     """The licence scan; ``templates`` are names with their bigrams."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     values = ", ".join(f"({k}, {quote(name)}, {len(grams)}, {slack(len(grams)) + 1}, [{', '.join(map(quote, grams))}])" for k, (name, grams) in enumerate(templates))
-    some = " OR ".join(f"contains(t, {quote(m)})" for m in marks)
     return rf"""
 WITH template(k, license, m, room, own) AS (VALUES {values}), own AS (SELECT k, license, m, room, unnest(own) AS g FROM template
 ), low AS (SELECT doc_id, translate(coalesce(text, ''), {_AZ}) AS t FROM documents
 ), word AS (
-  SELECT doc_id, list_filter(string_split_regex(t, '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda w: w <> '') AS w FROM low WHERE {some}
+  SELECT doc_id, list_filter(string_split_regex(t, '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+'), lambda w: w <> '') AS w FROM low
 ), gram AS (
   SELECT doc_id, unnest(range(len(w) - 1)) AS pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM word WHERE len(w) > 1
 ), place AS (

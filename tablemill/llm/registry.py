@@ -43,5 +43,5 @@ ORACLES: dict[str, str] = {
     "op11_spelling_variants": OP11_SQL,
     "op12_substring_dedup": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
-    "op3_license_scan": op3_sql(licenses.known_templates(), licenses.MARKS, licenses.DICE, licenses.slack),
+    "op3_license_scan": op3_sql(licenses.known_templates(), licenses.DICE, licenses.slack),
 }
