@@ -48,8 +48,8 @@ class _Run:
 
     def __init__(self, texts: pa.Array, window: int):
         self.window = window
-        self.raw, at = textbuf.utf8(texts)
-        self.start, self.end, self.first = textbuf.words(self.raw, at, textbuf.SPACE_WORDS)
+        self.raw, self.edges = textbuf.utf8(texts)
+        self.start, self.end, self.first = textbuf.words(self.raw, self.edges, textbuf.SPACE_WORDS)
         n = len(self.start)
         seed = min(SEED, window)
         self.seeds = least = textbuf.window_hashes(textbuf.word_hashes(self.raw, self.start, self.end), seed)
@@ -79,9 +79,13 @@ class _Run:
     def repeats(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         """How often each segment holds its seed: a passage that repeats within one segment does so more than once."""
         size = n + self.span - 1
-        begin = np.cumsum(size) - size
-        place = np.repeat(at - begin, size) + np.arange(size.sum())
-        return np.add.reduceat(self.seeds[place] == np.repeat(self.seed[at], size), begin, dtype=np.int64) if len(at) else at
+        out = np.zeros(len(at), dtype=np.int64)
+        for a, b in _spans(np.cumsum(size)):
+            own = size[a:b]
+            begin = np.cumsum(own) - own
+            place = np.repeat(at[a:b] - begin, own) + np.arange(own.sum())
+            out[a:b] = np.add.reduceat(self.seeds[place] == np.repeat(self.seed[at[a:b]], own), begin, dtype=np.int64)
+        return out
 
     def marked(self, marks: np.ndarray) -> np.ndarray:
         slot = self.seed[self.at] & np.uint64(64 * len(marks) - 1)
@@ -89,14 +93,17 @@ class _Run:
 
     def joined(self, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets): all words, or those ``kept``, each followed by one space, and where each begins."""
-        size = self.end - self.start + 1
-        keep = np.ones(len(size), dtype=bool) if kept is None else kept
-        size = np.where(keep, size, 0)
+        keep = np.ones(len(self.start), dtype=bool) if kept is None else kept
+        size = np.where(keep, self.end - self.start + 1, 0)
         at = np.zeros(len(size) + 1, dtype=np.int64)
         np.cumsum(size, out=at[1:])
-        begin, length = self.start[keep], size[keep]
-        out = np.append(self.raw, np.uint8(32))[np.repeat(begin - at[:-1][keep], length) + np.arange(at[-1])]
-        out[at[:-1][keep] + length - 1] = 32
+        # A space behind each document, so that each word has one to itself; then the bytes of words and their spaces stay.
+        spaced = np.insert(self.raw, self.edges[1:], 32)
+        inside = np.zeros(len(spaced) + 1, dtype=np.int8)
+        inside[(self.start + self.doc)[keep]] = 1
+        np.add.at(inside, (self.end + self.doc)[keep] + 1, -1)
+        out = spaced[np.cumsum(inside, dtype=np.int8)[:-1] > 0]
+        out[at[1:][keep] - 1] = 32
         return out, at
 
 
@@ -108,6 +115,15 @@ def _slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(at), pa.py_buffer(flat)).cast(pa.string())
 
 
+def _spans(sums: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of rows of at most a run's bytes (or one row), by their running ``sums``."""
+    a = 0
+    while a < len(sums):
+        b = max(a + 1, int(np.searchsorted(sums, (sums[a - 1] if a else 0) + textbuf.RUN_BYTES, side="right")))
+        yield a, b
+        a = b
+
+
 def _seed_counter(window: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,10 +144,13 @@ def _cutter(shared, window: int):
                 run = _Run(part.column(2), window)
                 at, n = run.segments(shared.value)
                 flat, place = run.joined()
-                owner = run.doc[at] if len(at) else at
-                texts = _slices(flat, place[at], place[at + n + window - 1] - 1) if len(at) else pa.array([], pa.string())
-                columns = [pa.array(run.seed[at].view(np.int64)), part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array((at - run.first[owner]).astype(np.int32)), texts]
-                yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tie", "start", "text"])
+                sums = np.cumsum(place[at + n + window - 1] - place[at]) if len(at) else at
+                for a, b in _spans(sums):
+                    own, size = at[a:b], n[a:b]
+                    owner = run.doc[own]
+                    texts = _slices(flat, place[own], place[own + size + window - 1] - 1)
+                    columns = [pa.array(run.seed[own].view(np.int64)), part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array((own - run.first[owner]).astype(np.int32)), texts]
+                    yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tie", "start", "text"])
 
     return cut
 

@@ -99,7 +99,24 @@ def words(raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same wherever the word stands."""
+    """A 64-bit hash of each word's bytes, the same wherever the word stands.
+
+    A long text goes piece by piece (some words, or one), so that sums over its bytes need no memory
+    of their own for all of it."""
+    n = len(raw)
+    if n > 2 * RUN_BYTES and len(start) > 1:
+        out = np.empty(len(start), dtype=np.uint64)
+        a = 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(end, start[a] + RUN_BYTES, side="right")))
+            lo, hi = start[a], end[b - 1]
+            out[a:b] = _word_hashes(raw[lo:hi], start[a:b] - lo, end[a:b] - lo)
+            a = b
+        return out
+    return _word_hashes(raw, start, end)
+
+
+def _word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(raw)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[raw] * _power(_P_INV, n), out=total[1:])
