@@ -24,7 +24,7 @@ from tablemill.llm.scratch import short_batches, small_or_shuffled, store
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 _HEAD = 3
 
 
