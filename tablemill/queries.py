@@ -682,6 +682,19 @@ def country_platform_counts(spark, sf_dir):
     return profile.count_matrix(jobs(spark, sf_dir).filter("country is not null"), "country", "platform", ["indeed", "linkedin"])
 
 
+@query(over("SELECT coalesce(country, CASE WHEN grouping(country) = 1 THEN 'TOTAL' END) AS country, coalesce(platform, CASE WHEN grouping(platform) = 1 THEN 'TOTAL' END) AS platform, count(*) AS n FROM jobs GROUP BY CUBE (country, platform)"))
+def platform_totals(spark, sf_dir):
+    rows = jobs(spark, sf_dir).cube("country", "platform").agg(F.count("*").alias("n"), F.grouping("country").alias("_c"), F.grouping("platform").alias("_p"))
+    named = lambda c, flag: F.coalesce(c, F.when(F.col(flag) == 1, "TOTAL")).alias(c)
+    return rows.select(named("country", "_c"), named("platform", "_p"), "n")
+
+
+@query()
+def normalize_reduction(spark, sf_dir):
+    rows = spread(spark, sf_dir, "pages").withColumn("text", normalize.normalize_text(F.col("html")))
+    return rows.agg(F.count("*").alias("n"), profile.reduction_percent(F.col("html"), F.col("text")).cast("double").alias("reduction"))
+
+
 @query(over("SELECT count(*) AS n, coalesce(sum(is_remote), 0) AS remote FROM jobs"))
 def flag_sum(spark, sf_dir):
     return jobs(spark, sf_dir).agg(F.count("*").alias("n"), F.coalesce(F.sum("is_remote"), F.lit(0)).alias("remote"))
@@ -699,8 +712,9 @@ def value_union(spark, sf_dir):
 def jobs_pipeline(spark, sf_dir):
     raw = jobs(spark, sf_dir).withColumn("posted_date", F.col("posted_text"))
     out = store.scratch_dir(spark, "jobs")
-    manifest = plan.run(spark, raw, out)
-    return spark.createDataFrame([(t["table"], t["rows"]) for t in manifest["tables"]], "table_name string, n long")
+    plan.run(spark, raw, out)
+    published = store.Snapshots(spark, out).read("jobs")
+    return published.select("job_id", "platform", "job_relevance_score", "job_type_filled", "job_level_std", "job_function_std", "company_industry_std", "education_level", "tools", "is_research")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

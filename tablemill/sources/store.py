@@ -41,6 +41,12 @@ def read_table(spark: SparkSession, url: str, table: str, **options: str) -> Dat
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
+def list_tables(spark: SparkSession) -> DataFrame:
+    """table_name, column, type, nullable of all tables and views that the session knows."""
+    rows = [(t.name, f.name, f.dataType.simpleString(), f.nullable) for t in spark.catalog.listTables() for f in spark.table(t.name if t.isTemporary else f"{'.'.join(t.namespace or [])}.{t.name}".lstrip(".")).schema]
+    return spark.createDataFrame(rows, "table_name string, column string, type string, nullable boolean")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
