@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablemill.functions import chunk, classify, features, languages, normalize, score
-from tablemill.operators import dedup, filters
+from tablemill.operators import dedup, filters, report
 from tablemill.sources import store
 
 PERSISTED_NA = ["detected_language", "education_level", "education_field", "job_level"]
@@ -149,14 +149,14 @@ def fingerprint(df: DataFrame, *more) -> str:
 
 def run(
     spark: SparkSession, raw: DataFrame | None, root: str, run: str | None = None, dry_run: bool = False, model=None, now: Column | None = None, hours: int | None = None,
-    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | languages.Profiles | None = None, resume: bool = False,
+    platforms: list[str] | None = None, countries: list[str] | None = None, embeddings: bool = True, detector: Callable[[str], str] | languages.Profiles | None = None, resume: bool = False, reports: bool = False,
 ) -> dict:
     """All stages, each a snapshot; any failure before publishing leaves the last run in place.
 
     ``hours``, ``platforms`` and ``countries`` narrow what is taken in; without ``raw`` the accepted rows of the last
     published run are taken again.  Jobs and details are merged into those published before.  Chunks and embeddings
     come last and may fail without failing the run, or be left out: those published before stay.  With ``resume`` a
-    run of the same id and the same input goes on behind its last complete stage.  The manifest holds rows and seconds
+    run of the same id and the same input goes on behind its last complete stage.  ``reports`` writes three texts beside the tables.  The manifest holds rows and seconds
     of each table, whether it was taken over, and how many details were embedded, had been before, were empty, or failed.
     """
     run = run or store.run_id()
@@ -195,4 +195,7 @@ def run(
             error, counts = str(e)[:500], work.failed()
     if have is not None and (error or not embeddings):
         stage("job_chunks", lambda: have)
+    if reports:
+        for name, text in report.run_reports(accepted, processed, enriched).items():
+            store.put_text(spark, f"{shots.root}/run_id={run}/reports/{name}.txt", text)
     return shots.publish(run, tables, embedding_error=error, backfill=counts, published=True)

@@ -19,7 +19,11 @@ def raw(spark):
 
 def test_pipeline_runs_twice_and_merges(spark, raw, tmp_path):
     root = str(tmp_path / "w")
-    first = jobs.run(spark, raw, root, "r1")
+    first = jobs.run(spark, raw, root, "r1", reports=True)
+    told = {k: (tmp_path / f"w/run_id=r1/reports/{k}.txt").read_text() for k in ("raw", "processed", "enriched")}
+    assert "Values of platform" in told["raw"] and "First rows" in told["raw"] and "not_null" in told["raw"]
+    assert "Not Duplicate" in told["processed"] and "mean_percent_removed" in told["processed"] and "job_description_clean" in told["processed"]
+    assert "Before and after" in told["enriched"] and "Tags of skills" in told["enriched"] and "median" in told["enriched"]
     counts = {t["table"]: t["rows"] for t in first["tables"]}
     assert first["embedding_error"] is None and counts["jobs_raw"] == counts["jobs_processed"] == counts["jobs_enriched"] == counts["jobs"]
     second = jobs.run(spark, raw, root, "r2")
@@ -58,6 +62,17 @@ def test_clean_up(spark, tmp_path):
     assert tuple(counts) == (1, 1, 1)
 
 
+def test_reduction_by_the_normaliser(spark):
+    from tablemill.functions import normalize
+    from tablemill.operators import profile
+
+    texts = ["<p>Fish &amp; chips</p>", "", None, "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.agg(profile.reduction_percent(F.col("t"), normalize.normalize_text(F.col("t"))).cast("double")).first()[0]
+    clean = ["fish & chips", "", "", "plain"]
+    assert abs(got - sum((len(t or "") - len(c)) * 100 / max(len(t or ""), 1) for t, c in zip(texts, clean)) / 4) < 1e-4
+
+
 def test_json_state(spark, tmp_path):
     path = str(tmp_path / "s.json")
     assert store.get_json(spark, path, {"x": 0}) == {"x": 0}
