@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,8 +64,24 @@ def s_pattern(p: str) -> str:
     return (_IN + p[2:] if p.startswith(r"\b") else p).replace(r"\b", _OUT)
 
 
+def s_unless(words: str) -> str:
+    """What may follow a word that ``words`` must not follow: an end, another mark, or blanks and any other text."""
+    tokens = re.findall(r"\\s\+|.", words)
+    out = ""
+    for k in reversed(tokens):
+        later = f"|{k}(?:{out})" if out else ""
+        out = (r"$|\S" if k == r"\s+" else rf"$|[^\s{k}]") + later
+    return rf"(?:$|[^\p{{L}}\p{{N}}_\s]|\s+(?:{out}))"
+
+
+def s_ahead(p: str) -> str:
+    r"""``p`` without its look-ahead, if it ends in one behind ``\.?\b``: where the point would be taken, the border is there without it."""
+    found = re.fullmatch(r"(.*)\\\.\?\\b\(\?!\\s[*+](.+)\)", p)
+    return _IN + found[1][2:] + s_unless(found[2]) if found else s_pattern(p)
+
+
 def s_match(text: str, patterns: list[str]) -> str:
-    return "coalesce(" + " OR ".join(f"regexp_matches({text}, {quote('(?i)' + s_pattern(p))})" for p in patterns) + ", false)"
+    return "coalesce(" + " OR ".join(f"regexp_matches({text}, {quote('(?i)' + s_ahead(p))})" for p in patterns) + ", false)"
 
 
 def s_list(items: list[tuple[str, str]]) -> str:
@@ -80,8 +97,6 @@ _MARKED = r"regexp_replace({}, '([\p{{L}}\p{{N}}_]+)', '¦\1¦', 'g')"
 
 
 def s_count(marked: str, keyword: str) -> str:
-    import re
-
     k = re.sub(r"([^\W]+)", r"¦\1¦", keyword)
     return f"((length({marked}) - length(replace({marked}, {quote(k)}, ''))) // {len(k)})"
 
@@ -331,7 +346,12 @@ def weighted_mean_by_industry(spark, sf_dir):
 _DESC = "coalesce(job_description, '')"
 
 
-@query()
+def s_levels(table: dict[str, list[str]]) -> str:
+    found = "array_to_string(" + s_list([(n, s_match(_DESC, p)) for n, p in table.items()]) + ", ', ')"
+    return f"CASE WHEN {s_blank('job_description')} OR {found} = '' THEN 'NA' ELSE {found} END"
+
+
+@query(over(f"SELECT job_id, {s_levels(vocab.EDUCATION_LEVELS)} AS education_level FROM jobs"))
 def education_levels(spark, sf_dir):
     return texts(spark, sf_dir).select("job_id", features.education_levels(F.col("job_description")).alias("education_level"))
 
@@ -341,7 +361,7 @@ def education_field(spark, sf_dir):
     return texts(spark, sf_dir).select("job_id", features.education_field(F.col("job_description")).alias("education_field"))
 
 
-@query()
+@query(over(f"SELECT job_id, CASE WHEN {s_blank('level')} OR level = 'NA' THEN {s_levels(vocab.EDUCATION_FILL)} ELSE level END AS edu_level_filled FROM (SELECT *, CASE WHEN id % 2 = 0 THEN {s_levels(vocab.EDUCATION_LEVELS)} END AS level FROM jobs)"))
 def education_fill(spark, sf_dir):
     rows = texts(spark, sf_dir).withColumn("level", F.when(F.col("id") % 2 == 0, features.education_levels(F.col("job_description"))))
     return rows.select("job_id", features.fill_education(F.col("level"), F.col("job_description")).alias("edu_level_filled"))
@@ -485,6 +505,38 @@ def text_normalize(spark, sf_dir):
     return spread(spark, sf_dir, "pages").select("page_id", normalize.normalize_text(F.col("html")).alias("text"))
 
 
+def s_replaced(text: str, rules: list[tuple[str, str, str]]) -> str:
+    """``text`` after every (pattern, replacement, flags), in order."""
+    for pattern, to, flags in rules:
+        begin = f"(?{flags})" if flags else ""
+        text = f"regexp_replace({text}, {quote(begin + pattern)}, {quote(to.replace('$', chr(92)))}, 'g')"
+    return text
+
+
+_SQUEEZE = [(r"[ \t]+", " ", ""), (r"\n{3,}", "\n\n", ""), (r" *\n *", "\n", "")]
+
+
+def s_section(p: str) -> tuple[str, str, str]:
+    """A pattern up to the next heading or the end, without its look-ahead: what was to be seen is put back."""
+    start, ahead, heading = p.partition(r".*?(?=")
+    if not ahead:
+        return p, "", "is"
+    if heading.startswith("#"):
+        return start + "[^#]*", "", "is"
+    groups = len(re.findall(r"\((?!\?)", start)) + 1
+    return f"(?:{start}.*?)+({heading.replace(chr(92) + 'Z', chr(92) + 'z')}", f"${groups}", "is"
+
+
+_SECTIONS = [s_section(p) for p in vocab.BOILERPLATE]
+_CLEAN = s_replaced(_TAGS.format("coalesce(html, '')"), [*normalize.MARKDOWN, *_SQUEEZE, *_SECTIONS])
+
+
+@query(f"SELECT page_id, regexp_replace({s_replaced(f'lower({_CLEAN})', _SQUEEZE)}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS text FROM pages")
+def text_clean(spark, sf_dir):
+    """The chain without entities, which only a library's table decodes."""
+    return spread(spark, sf_dir, "pages").select("page_id", normalize.normalize_text(F.col("html"), entities=False).alias("text"))
+
+
 _BLANK = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]+"
 _AHEAD = "substr(rest, 201, 1800)"
 
