@@ -164,25 +164,20 @@ def _cell_links(similarity: int):
     return compare
 
 
-def _hot(cand: DataFrame) -> DataFrame:
-    """Buckets of more members than one cell compares."""
-    return store(cand.groupBy("bucket").count().filter(F.col("count") > CELL).select("bucket"), "hot")
-
-
-def _kept(cand: DataFrame, ids: DataFrame, hot: DataFrame) -> DataFrame:
-    """``cand`` without the members of ``hot`` buckets that are not among ``ids``."""
-    marked = cand.join(small_or_shuffled(hot.withColumn("is_hot", F.lit(True))), "bucket", "left")
-    marked = marked.join(small_or_shuffled(ids.select(F.col("id").alias("rep"), F.lit(True).alias("listed"))), "rep", "left")
-    return marked.filter("is_hot is null or listed").select(cand.columns)
+def _kept(cand: DataFrame, ids: DataFrame) -> DataFrame:
+    """``cand`` without the members of hot buckets (more than one cell compares) that are not among ``ids``.
+    Rows of other buckets meet no join."""
+    hot = F.col("members") > CELL
+    listed = cand.filter(hot).join(small_or_shuffled(ids.select(F.col("id").alias("rep"))), "rep", "left_semi")
+    return cand.filter(~hot).unionByName(listed)
 
 
 def _without_strangers(cand: DataFrame, sets: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame | None]:
     """(``cand`` without the members of hot buckets that can be linked with no other, the leading shingles
     of members of hot buckets, or None if no bucket is hot).  Small buckets are compared as they are."""
-    hot = _hot(cand)
-    if hot.isEmpty():
+    ids = store(cand.filter(F.col("members") > CELL).select(F.col("rep").alias("id")).distinct(), "hot_ids")
+    if ids.isEmpty():
         return cand, None
-    ids = store(cand.join(small_or_shuffled(hot), "bucket", "left_semi").select(F.col("rep").alias("id")).distinct(), "hot_ids")
     own = sets.join(small_or_shuffled(ids), "id", "left_semi")
     # What many of these members hold, in a table of fixed size.
     held = own.select("shingles").mapInArrow(_repeats, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
@@ -190,7 +185,7 @@ def _without_strangers(cand: DataFrame, sets: DataFrame, similarity: int) -> tup
     count[held["slot"].to_numpy()] = held["n"].to_numpy()
     shared = cand.sparkSession.sparkContext.broadcast(count)
     lead = store(own.mapInArrow(_leader(shared, similarity), "id long, token long, narrow boolean"), "lead")
-    return _kept(cand, store(_contested(lead, "id"), "alive"), hot), lead
+    return store(_kept(cand, store(_contested(lead, "id"), "alive")), "thinned"), lead
 
 
 def near_duplicates(
@@ -220,7 +215,7 @@ def near_duplicates(
     classes = signed.filter("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     banded = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    cand = store(banded.join(shared.select("bucket"), "bucket", "left_semi"), "cand")
+    cand = store(banded.join(shared, "bucket"), "cand")
 
     involved = store(cand.select(F.col("rep").alias("id")).distinct(), "involved")
     sets = store(
@@ -230,9 +225,15 @@ def near_duplicates(
         "sets",
     )
     cand, lead = _without_strangers(cand, sets, similarity)
-    cand = store(cand.join(cand.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1").drop("members"), "bucket"), "left")
+    centres = cand.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1")
+    # One row for a member and its centre, however many bands they share: what is looked up by document is looked up once.
+    met = store(
+        cand.drop("members").join(centres, "bucket").filter("rep != centre")
+        .groupBy("rep", "centre").agg(F.collect_list(F.struct("bucket", "members")).alias("buckets")),
+        "met",
+    )
 
-    pairs = cand.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = met.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
     one = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     two = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     inter = F.size(F.array_intersect("x", "y"))
@@ -245,23 +246,19 @@ def near_duplicates(
 
     root = first.select(F.col("node").alias("rep"), "root")
     centre_root = first.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
-    left = cand
+    rooted = met.join(root, "rep", "left").join(centre_root, "centre", "left")
+    rooted = rooted.withColumns({"root": F.coalesce("root", "rep"), "outside": F.coalesce("root", "rep") != F.coalesce("centre_root", "centre")})
+    placed = rooted.select("rep", "root", "outside", F.inline("buckets"))
     if lead is not None:
-        rooted = lead.join(small_or_shuffled(first.select(F.col("node").alias("id"), "root")), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        left = _kept(cand, store(_contested(rooted, "root"), "contested"), _hot(cand))
-    placed = store(
-        left.join(root, "rep", "left")
-        .join(centre_root, "centre", "left")
-        .select("bucket", "rep", "centre", F.coalesce("root", "rep").alias("root"), F.coalesce("centre_root", "centre").alias("centre_root"))
-        .withColumn("outside", F.col("root") != F.col("centre_root")),
-        "placed",
-    )
+        led = lead.join(small_or_shuffled(first.select(F.col("node").alias("id"), "root")), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        placed = _kept(placed, store(_contested(led, "root"), "contested"))
+    placed = store(placed.select("bucket", "rep", "root", "outside"), "placed")
     live = (
-        placed.filter("rep != centre").groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("outside").cast("int")).alias("u"))
+        placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("outside").cast("int")).alias("u"))
         .filter("n > 1 and u > 0")  # all have been compared with the centre
         .select("bucket", F.ceil(F.col("u") / CELL).cast("int").alias("blocks_a"), F.ceil(F.col("n") / CELL).cast("int").alias("blocks_b"))
     )
-    rest = placed.filter("rep != centre").join(live, "bucket").join(sets.withColumnRenamed("id", "rep"), "rep")
+    rest = placed.join(live, "bucket").join(sets.withColumnRenamed("id", "rep"), "rep")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     cols = ["bucket", "root", "shingles"]

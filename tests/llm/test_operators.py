@@ -81,6 +81,30 @@ def test_near_duplicates_small_cells(spark, texts, docs, monkeypatch):
     assert got == brute.near_duplicates(texts)
 
 
+def test_lookups_by_document_do_not_grow_with_bands(spark, monkeypatch):
+    """What a document's component is gets asked once for it and its centre, not in each of the bands that they share."""
+    monkeypatch.setattr(minhash_dedup, "CELL", 20)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(k, " ".join([*base, f"own{k}"])) for k in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = spark._jsparkSession.sharedState().statusStore()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    before = told.executionsCount()
+    got = pairs(minhash_dedup.near_duplicates(df), "doc_id", "component_id")
+    assert got == {k: (0,) for k, _ in rows}
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    made, runs = 0, told.executionsList()
+    for k in range(int(before), runs.size()):
+        run = runs.apply(k).executionId()
+        found, nodes = told.executionMetrics(run), told.planGraph(run).allNodes()
+        for node in (nodes.apply(n) for n in range(nodes.size())):
+            if "Join" in node.name() and "LeftOuter" in node.desc() and "[rep#" in node.desc():
+                rows_out = [m.accumulatorId() for m in (node.metrics().apply(n) for n in range(node.metrics().size())) if m.name() == "number of output rows"]
+                made += sum(int(found.apply(x).replace(",", "")) for x in rows_out if found.contains(x))
+    assert 0 < made <= 4 * len(rows)
+
+
 def test_near_duplicates_without_ids(spark, none):
     assert minhash_dedup.near_duplicates(none).count() == 0
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)]
