@@ -8,7 +8,8 @@ counts the n-grams of its texts, languages and n-grams are summed, and the first
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,13 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablemill.functions import rx, vocab
+from tablemill.functions import batches, rx, vocab
 
 PROFILE = 300
 #: Characters below which a text is not judged.
 LEAST = 20
 #: Distinct (language, n-gram) counts that a task holds before it passes them on.
-_HELD = 500_000
+_HELD = 100_000
+#: Characters whose n-grams are listed at once: each takes about 100 bytes while they are.
+_PIECE = 1 << 17
 _BITS = np.int64(21)
 _MARK = ord("_")
 
@@ -51,33 +54,56 @@ def _codes(text: str) -> np.ndarray:
     return np.concatenate([one, two, three])
 
 
+_NO_LETTER = re.compile(r"[\W\d_]")
+
+
+def _pieces(texts: Iterable[str]) -> Iterator[str]:
+    """The texts, short ones together and long ones in parts: words stay whole, so the n-grams are the same."""
+    held, size = [], 0
+    for text in texts:
+        at = 0
+        while len(text) - at > _PIECE:
+            stop = _NO_LETTER.search(text, at + _PIECE)
+            end = stop.end() if stop else len(text)
+            yield text[at:end]
+            at = end
+        if size + len(text) - at > _PIECE:
+            yield " ".join(held)
+            held, size = [], 0
+        held.append(text[at:])
+        size += len(text) - at
+    yield " ".join(held)
+
+
 def _gram(code: int) -> str:
     low = (1 << int(_BITS)) - 1
     return "".join(chr(c) for c in (code >> 42, (code >> 21) & low, code & low) if c)
 
 
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counter(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def emit(held: dict) -> pa.RecordBatch:
         flat = [(lang, _gram(c), n) for (lang, c), n in held.items()]
         columns = zip(*flat) if flat else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, (pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
 
     held: dict = {}
-    for batch in batches:
+    for batch in rows:
         langs = np.array(batch.column(0).to_pylist(), dtype=object)
-        texts = batch.column(1).to_pylist()
         for lang in set(langs.tolist()):
-            codes = [_codes(texts[k] or "") for k in np.flatnonzero(langs == lang).tolist()]
-            for c, n in zip(*(x.tolist() for x in np.unique(np.concatenate(codes), return_counts=True))):
-                held[lang, c] = held.get((lang, c), 0) + n
-        if len(held) > _HELD:
-            yield emit(held)
-            held = {}
+            texts = (batch.column(1)[k].as_py() or "" for k in np.flatnonzero(langs == lang).tolist())
+            for piece in _pieces(texts):
+                for c, n in zip(*(x.tolist() for x in np.unique(_codes(piece), return_counts=True))):
+                    held[lang, c] = held.get((lang, c), 0) + n
+                if len(held) > _HELD:
+                    yield emit(held)
+                    held = {}
+        batches.give_back()
     yield emit(held)
 
 
 def gram_counts(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, gram, n over all rows with a language; texts in lower case, null texts empty."""
+    batches.short_batches(rows.sparkSession)
     labelled = rows.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"))
     return labelled.mapInArrow(_counter, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 

@@ -12,12 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablemill.functions.batches import short_batches as short_batches
+
 #: Ids that may be broadcast: about 24 bytes each, so 12 MB at most.
 BROADCAST_ROWS = 500_000
-#: Rows of an Arrow batch of texts.
-BATCH_ROWS = 1_000
-#: Bytes of an Arrow batch, beyond which it ends.
-BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,16 +32,6 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Cap the rows and bytes of an Arrow batch: a row may hold a long text, and both the JVM (outside its
-    heap) and the Python worker hold whole batches.  Smaller settings of the session's own stay; Spark
-    reads them when a plan runs, so they hold from now on."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = int(spark.conf.get(key).rstrip("b"))
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
-
-
 def ship(spark: SparkSession, path: str) -> str:
     """Send a file of the driver's to every executor; ``shipped`` opens it there by the name returned."""
     spark.sparkContext.addFile(path)

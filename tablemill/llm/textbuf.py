@@ -7,12 +7,13 @@ by one run, not by the Arrow batch.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from tablemill.functions.batches import give_back as give_back
+
 RUN_BYTES = 1 << 19
 
 _U = np.uint64
@@ -70,17 +71,6 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]] if len(at) else raw[:0], (at - at[0]) if len(at) else np.zeros(1, np.int64)
 
 
-_libc = ctypes.CDLL(None)
-
-
-def give_back() -> None:
-    """Return freed memory to the system.  Workers outlive their tasks, and what one stage's arrays leave in the
-    allocator would be held beside the next stage's."""
-    pa.default_memory_pool().release_unused()
-    if hasattr(_libc, "malloc_trim"):
-        _libc.malloc_trim(0)
-
-
 def runs(batch: pa.RecordBatch, column: str, limit: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with at most ``limit`` bytes in ``column`` (or one row)."""
     n = batch.num_rows
