@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import languages, phrases, rx, vocab
+from tablemill.functions import batches, languages, phrases, rx, vocab
 
 
 def _labels(text: Column, table: dict[str, list[str]]) -> Column:
@@ -232,6 +232,8 @@ def detect_language(
     if isinstance(detector, languages.Profiles):
         return df.withColumn(into, languages.detect(F.col(text_col), detector, df.sparkSession))
 
+    batches.short_batches(df.sparkSession)
+
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> str:

@@ -75,6 +75,15 @@ def _pieces(texts: Iterable[str]) -> Iterator[str]:
     yield " ".join(held)
 
 
+def _counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The text's distinct n-grams, in their order, and how often each occurs."""
+    own, n = zip(*(np.unique(_codes(x), return_counts=True) for x in _pieces([text])))
+    every, at = np.unique(np.concatenate(own), return_inverse=True)
+    total = np.zeros(len(every), dtype=np.int64)
+    np.add.at(total, at.ravel(), np.concatenate(n))
+    return every, total
+
+
 def _gram(code: int) -> str:
     low = (1 << int(_BITS)) - 1
     return "".join(chr(c) for c in (code >> 42, (code >> 21) & low, code & low) if c)
@@ -131,10 +140,11 @@ class Profiles:
     def detect(self, text: str | None) -> str:
         """The nearest language; NA for texts (in lower case) of under 20 characters, stripped, or without letters."""
         text = (text or "").strip()
-        codes = _codes(text) if len(text) >= LEAST and self.langs else np.zeros(0, np.int64)
-        if not len(codes):
+        if len(text) < LEAST or not self.langs:
+            return vocab.NA
+        own, n = _counts(text)
+        if not len(own):
             return vocab.NA
-        own, n = np.unique(codes, return_counts=True)
         own = own[np.lexsort((own, -n))][: self.size]
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
         known = self.ranks[np.where(self.grams[at] == own, at, len(self.grams))]
@@ -143,11 +153,13 @@ class Profiles:
 
 
 def detect(text: Column, profiles: Profiles, spark) -> Column:
+    batches.short_batches(spark)
     shared = spark.sparkContext.broadcast(profiles)  # ``size`` n-grams a language
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        known = shared.value
-        return texts.map(known.detect)
+        found = texts.map(shared.value.detect)
+        batches.give_back()
+        return found
 
     return run(F.lower(rx.strip(F.coalesce(text.cast("string"), F.lit("")))))

@@ -30,7 +30,7 @@ def seen(spark, rows):
     return texts.select(F.pandas_udf(lambda t: pd.Series([len(t)] * len(t)), "int")("t").alias("n")).agg(F.max("n")).first()[0]
 
 
-@pytest.mark.parametrize("step", ["profiles"])
+@pytest.mark.parametrize("step", ["profiles", "detect", "detector"])
 def test_batches_are_short(wide, step):
     assert seen(wide, 3_000) == 3_000
     df = wide.createDataFrame([("en", "the cat and the dog sat on the mat")], "lang string, text string")
@@ -66,6 +66,9 @@ def test_parts_count_the_same(monkeypatch):
     for piece in (1, 7, 30, 1 << 17):
         monkeypatch.setattr(languages, "_PIECE", piece)
         assert counted(texts) == want
+        for t in texts:
+            own, n = np.unique(languages._codes(t or ""), return_counts=True)
+            assert [x.tolist() for x in languages._counts(t or "")] == [own.tolist(), n.tolist()]
 
 
 def test_memory_of_many_and_long_texts():
