@@ -5,10 +5,10 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import rx, vocab
+from tablemill.functions import batches, rx, vocab
 
 #: Fixed value: tags that end a line.
 BLOCKS = r"<(br|p|div|h[1-6]|li|tr)[^>]*/?>"
@@ -26,15 +26,18 @@ MARKDOWN = [
 ]
 
 
-def unescape(text: Column) -> Column:
-    """Named and numeric entities; the library function, in Arrow batches, of texts with an ampersand.
-    Other texts stay where they are and travel as nulls."""
+def unescape_batch(texts: pd.Series) -> pd.Series:
+    out = texts.map(html.unescape, na_action="ignore")
+    batches.give_back()
+    return out
 
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
 
+def unescape(text: Column) -> Column:
+    """Named and numeric entities; the library function, in short Arrow batches, of texts with an ampersand.
+    Other texts stay where they are and travel as nulls."""
+    batches.short_batches(SparkSession.active())
     some = F.contains(text, F.lit("&"))
-    return F.when(some, F.pandas_udf(run, "string")(F.when(some, text))).otherwise(text)
+    return F.when(some, F.pandas_udf(unescape_batch, "string")(F.when(some, text))).otherwise(text)
 
 
 def strip_tags(text: Column) -> Column:

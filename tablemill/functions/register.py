@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import html
-
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions import chunk, normalize, rx, vocab
+from tablemill.functions import batches, chunk, normalize, rx, vocab
 
 
 def _literal(text: str) -> str:
@@ -34,13 +32,11 @@ def normalize_sql(text: str) -> str:
 def register(spark: SparkSession) -> list[str]:
     """Make ``unescape_entities``, ``normalize_text``, ``chunk_text`` and the table function ``text_chunks`` known to SQL in this session."""
 
-    def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
-
     def chunks(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: list(chunk.chunks_of(t)))
 
-    spark.udf.register("unescape_entities", F.pandas_udf(unescape, "string"))
+    batches.short_batches(spark)
+    spark.udf.register("unescape_entities", F.pandas_udf(normalize.unescape_batch, "string"))
     spark.udf.register("chunk_text", F.pandas_udf(chunks, "array<string>"))
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION normalize_text(t STRING) RETURNS STRING RETURN {normalize_sql('t')}")
     spark.udtf.register("text_chunks", chunk.ChunkText)
