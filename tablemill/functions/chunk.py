@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablemill.functions import batches
+
 LEAST, TARGET, MOST = 200, 2000, 3200
 DIMENSIONS = 512
 
@@ -74,10 +76,14 @@ def hashed_vector(text: str, dimensions: int = DIMENSIONS) -> list[float]:
 
 
 def embed(text: Column, model: Callable[[list[str]], list[list[float]]] | None = None) -> Column:
-    """An array<float> per text; ``model`` takes a batch of texts."""
+    """An array<float> per text; ``model`` takes a batch of texts, of 1,000 at most."""
+    batches.short_batches(SparkSession.active())
 
     def run(texts: pd.Series) -> pd.Series:
         batch = [t or "" for t in texts]
-        return pd.Series(model(batch) if model else [hashed_vector(t) for t in batch])
+        # Own vectors as arrays: a list holds each number as an object of its own.
+        found = pd.Series(model(batch)) if model else pd.Series([np.array(hashed_vector(t), dtype=np.float32) for t in batch], dtype=object)
+        batches.give_back()
+        return found
 
     return F.pandas_udf(run, "array<float>")(text)

@@ -30,7 +30,7 @@ def seen(spark, rows):
     return texts.select(F.pandas_udf(lambda t: pd.Series([len(t)] * len(t)), "int")("t").alias("n")).agg(F.max("n")).first()[0]
 
 
-@pytest.mark.parametrize("step", ["profiles", "detect", "unescape", "detector"])
+@pytest.mark.parametrize("step", ["profiles", "detect", "unescape", "embed", "detector"])
 def test_batches_are_short(wide, step):
     assert seen(wide, 3_000) == 3_000
     df = wide.createDataFrame([("en", "the cat and the dog sat on the mat")], "lang string, text string")
